@@ -19,9 +19,9 @@ def route_deprivation(stop_routes: DataFrame, stop_areas: DataFrame) -> DataFram
         stop_areas.select("stop_id", "imd_decile"), "stop_id"
     ).distinct()
     return served.groupBy("route_id").agg(
-        F.expr("percentile_disc(0.5) within group (order by imd_decile)").alias(
-            "route_imd_decile"
-        ),
+        F.expr("percentile_disc(0.5) within group (order by imd_decile)")
+        .cast("int")
+        .alias("route_imd_decile"),
         F.min("imd_decile").alias("route_min_imd_decile"),
         F.countDistinct("stop_id").alias("n_stops_with_imd"),
     )
