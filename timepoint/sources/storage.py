@@ -20,6 +20,15 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return kept
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths a glob pattern names, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop_path.getFileSystem(conf).globStatus(hadoop_path) or []
+    return [status.getPath().toString() for status in found]
+
+
 def scan_partitioned(
     spark: SparkSession, path: str, predicate: Column | str | None = None
 ) -> DataFrame:

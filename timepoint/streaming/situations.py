@@ -9,40 +9,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timepoint.operators.warehouse import upsert_last_wins
 from timepoint.sources.situations import latest_situation
-from timepoint.sources.storage import existing_paths
+from timepoint.sources.storage import existing_paths, matching_paths
 from timepoint.streaming.positions import run_batches
 
-NEWEST = ("fetched_at", "snapshot_id")
-
 
 def generation(table: str, batch: int) -> str:
     return f"{table.rstrip('/')}/generation={batch:09d}"
 
 
 def apply_snapshot(table: str, arriving: DataFrame, batch: int) -> None:
-    """Write generation ``batch``: the previous one upserted with the arriving notices."""
+    """Write generation ``batch``: the newest of the previous one and the arriving notices."""
     spark = arriving.sparkSession
-    latest = latest_situation(arriving)
-    before = existing_paths(spark, [generation(table, batch - 1)]) if batch > 0 else []
-    if before:
-        current = spark.read.parquet(before[0])
-        order = [c for c in NEWEST if c in arriving.columns]
-        latest = upsert_last_wins(current, latest, ["situation_id"], order)
-    latest.write.mode("overwrite").parquet(generation(table, batch))
+    for before in existing_paths(spark, [generation(table, batch - 1)]):
+        arriving = arriving.unionByName(spark.read.parquet(before))
+    latest_situation(arriving).write.mode("overwrite").parquet(generation(table, batch))
 
 
 def stream_situations(snapshots: DataFrame, table: str, checkpoint: str) -> DataFrame:
     """Consume all available snapshots and return the latest notice per situation."""
-    spark: SparkSession = snapshots.sparkSession
-    newest: list[int] = []
+    run_batches(
+        snapshots, lambda arriving, batch: apply_snapshot(table, arriving, batch), checkpoint
+    )
+    return latest_generation(snapshots.sparkSession, table)
 
-    def handle(arriving: DataFrame, batch: int) -> None:
-        apply_snapshot(table, arriving, batch)
-        newest.append(batch)
 
-    run_batches(snapshots, handle, checkpoint)
-    if not newest:
-        raise ValueError("no snapshot was available")
-    return spark.read.parquet(generation(table, newest[-1]))
+def latest_generation(spark: SparkSession, table: str) -> DataFrame:
+    written = matching_paths(spark, f"{table.rstrip('/')}/generation=*")
+    if not written:
+        raise ValueError(f"nothing was written to {table}")
+    return spark.read.parquet(max(written))
