@@ -55,8 +55,8 @@ def _(t: Tables) -> DataFrame:
 @query(
     "confusion_matrix",
     """select model, label, prediction, count(case_id) as n
-       from (select distinct model from predictions),
-            (values (0), (1)) as a(label), (values (0), (1)) as b(prediction)
+       from (select * from (select distinct model from predictions),
+                  (values (0), (1)) as a(label), (values (0), (1)) as b(prediction))
        left join predictions using (model, label, prediction) group by 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
@@ -219,7 +219,7 @@ def _candidate(name: str) -> models.Candidate:
 def _(t: Tables) -> DataFrame:
     train, _ = _split(t)
     best = models.cross_validate(train, _candidate("logistic_regression"))
-    rows = [(best.name, i, auc) for i, auc in enumerate(best.auc_by_setting)]
+    rows = [(best.name, i, float(auc)) for i, auc in enumerate(best.auc_by_setting)]
     return t.spark.createDataFrame(rows, "model string, setting int, mean_auc double")
 
 

@@ -142,11 +142,11 @@ TABLES = {
         select * exclude (l_partkey) replace (snapshot_id + 1 as snapshot_id)
         from pings_all where l_partkey % 3 = 0""",
     "weather": """
-        select at as ts_local,
-               case when hour(at) % 3 = 0 then 0e0 else (m * 7) % 25 / 10e0 end as precip_mm,
+        select h as ts_local,
+               case when hour(h) % 3 = 0 then 0e0 else (m * 7) % 25 / 10e0 end as precip_mm,
                (m * 11) % 120 / 10e0 as temp_c, (m * 5) % 300 / 10e0 as wind_kph,
-               cast(at as date) as service_date, cast(hour(at) as int) as hour
-        from (select date_trunc('hour', ts) as at, max(event_id) as m from events
+               cast(h as date) as service_date, cast(hour(h) as int) as hour
+        from (select date_trunc('hour', ts) as h, max(event_id) as m from events
               where ts < timestamp '2024-01-08' group by 1)""",
     "areas_raw": f"""
         select 'E' || c_custkey as lsoa_code, {_area_west('c_custkey')} as west,
