@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timepoint.functions.columns import split_refs
@@ -34,14 +34,7 @@ def explode_refs(situations: DataFrame, refs: str = "wy_stop_refs") -> DataFrame
     return situations.withColumn("stop_id", F.explode(split_refs(F.col(refs)))).drop(refs)
 
 
-def study_calendar(spark: SparkSession, dates: Sequence[dt.date]) -> DataFrame:
-    """The study dates as a table; its size is fixed by the settings, not by the data."""
-    return spark.createDataFrame([(d,) for d in dates], "service_date date")
-
-
-def validity_range_join(
-    notices: DataFrame, dates: Sequence[dt.date]
-) -> DataFrame:
+def validity_range_join(notices: DataFrame, dates: Sequence[dt.date]) -> DataFrame:
     """Notices x study dates inside their validity (inclusive).
 
     Each notice lists its own dates, clipped to the study window first, so there is no

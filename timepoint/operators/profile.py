@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -191,28 +190,23 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     correlation (NULL).
     """
     names = list(columns)
-    upper = [(a, b) for a, b in product(names, names) if names.index(a) <= names.index(b)]
-    values = df.agg(
-        *(
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-            for a, b in upper
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+
+    def pair_value(a: str, b: str) -> Column:
+        # a constant column leaves only rounding noise in its variance
+        varies = (F.max(a) > F.min(a)) & (F.max(b) > F.min(b))
+        return F.when(varies, F.corr(F.col(a).cast("double"), F.col(b).cast("double")))
+
+    values = df.agg(*(pair_value(a, b).alias(f"{a}|{b}") for a, b in pairs))
+
+    def entry(a: str, b: str, source: str) -> Column:
+        return F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{source}`").alias("correlation")
         )
-    )
-    # a constant column leaves only rounding noise in its variance
-    spread = df.agg(*((F.max(c) > F.min(c)).alias(c) for c in names))
-    moving = spread.unpivot([], names, "feature", "varies").filter("varies").select("feature")
-    pairs = values.unpivot([], values.columns, "pair", "correlation").select(
-        F.split_part("pair", F.lit("|"), F.lit(1)).alias("a"),
-        F.split_part("pair", F.lit("|"), F.lit(2)).alias("b"),
-        "correlation",
-    )
-    both = pairs.unionByName(
-        pairs.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "correlation")
-    )
-    known = both.join(moving.withColumnRenamed("feature", "a"), "a", "left_semi").join(
-        moving.withColumnRenamed("feature", "b"), "b", "left_semi"
-    )
-    return both.drop("correlation").join(known, ["a", "b"], "left")
+
+    listed = [entry(a, b, f"{a}|{b}") for a, b in pairs]
+    listed += [entry(b, a, f"{a}|{b}") for a, b in pairs if a != b]
+    return values.select(F.inline(F.array(*listed)))
 
 
 def box_stats(

@@ -110,9 +110,10 @@ def permutation_pvalue(
         .join(ranks("y"), "y")
         .select("unit", F.col("cum_one").alias("slot"), "rx", "ry")
     )
+    # spread replicates before hashing and sorting; the window reuses this partitioning
     drawn = ranked.select(
         "unit", "ry", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("replicate")
-    )
+    ).repartition("replicate")
 
     lot = F.md5(F.concat_ws(":", F.lit(seed), "replicate", "unit").cast("binary"))
     shuffled = drawn.withColumn(

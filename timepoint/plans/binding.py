@@ -19,10 +19,10 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from timepoint.functions.geo import in_bbox
 from timepoint.operators import disruptions, equity, headway, matching, reliability, spatial
-from timepoint.operators.dedup import keep_first
 from timepoint.settings import Settings
 from timepoint.sources import gtfs, situations, weather
 
@@ -35,30 +35,35 @@ STUDY = dataclasses.replace(
 # Fixed values of the binding, shared with the SQL prelude.
 AREA_X0, AREA_W = -2.2507, 0.00105
 AREA_Y0, AREA_H = 53.531, 0.000467
-METRES_PER_DEGREE = 111_195.0
+METRES_PER_DEGREE = 111195
 STUDY_EPOCH = 1_704_067_200  # 2024-01-01T00:00:00Z
 
 
-def area_west(area: Column) -> Column:
-    return F.lit(AREA_X0) + ((area * 367) % 1000) * F.lit(AREA_W)
-
+AREA_WEST = f"{AREA_X0}D + (({{area}}) * 367 % 1000) * {AREA_W}D"
+AREA_SOUTH = f"{AREA_Y0}D + ((({{area}}) * 613 + ({{area}}) div 1000) % 1000) * {AREA_H}D"
+STOP_LON = f"{AREA_WEST} + (({{k}}) * 37 % 113) / 100D * {AREA_W}D"
+STOP_LAT = f"{AREA_SOUTH} + (({{k}}) * 53 % 109) / 100D * {AREA_H}D"
+ROUTE_OF_ORDER = (
+    "case when {k} % 3 = 0 then {k} div 150 - ({k} div 150) % 4 else {k} div 150 end"
+)
 
-def area_south(area: Column) -> Column:
-    return F.lit(AREA_Y0) + ((area * 613 + F.expr("_area div 1000")) % 1000) * F.lit(AREA_H)
+_schemas: dict[str, T.StructType] = {}
 
 
-def with_stop_place(df: DataFrame, stop: Column) -> DataFrame:
-    """Add stop_lat and stop_lon of stop number ``stop``."""
-    df = df.withColumn("_k", stop).withColumn("_area", F.expr("_k * 3 div 4"))
-    area, k = F.col("_area"), F.col("_k")
-    lon = area_west(area) + ((k * 37) % 113) / F.lit(100.0) * F.lit(AREA_W)
-    lat = area_south(area) + ((k * 53) % 109) / F.lit(100.0) * F.lit(AREA_H)
-    return df.withColumns({"stop_lat": lat, "stop_lon": lon}).drop("_k", "_area")
+def with_stop_place(df: DataFrame, k: str) -> DataFrame:
+    """Add stop_lat and stop_lon of the stop numbered by column ``k``."""
+    area = f"{k} * 3 div 4"
+    return computed_once(
+        df,
+        stop_lat=STOP_LAT.format(area=area, k=k),
+        stop_lon=STOP_LON.format(area=area, k=k),
+    )
 
 
-ROUTE_OF_ORDER = (
-    "case when {k} % 3 = 0 then {k} div 150 - ({k} div 150) % 4 else {k} div 150 end"
-)
+def computed_once(df: DataFrame, **values: str) -> DataFrame:
+    """Add columns as generator output, so filters on them do not repeat their formulas."""
+    fields = ", ".join(f"'{name}', {value}" for name, value in values.items())
+    return df.selectExpr("*", f"inline(array(named_struct({fields})))")
 
 
 class Tables:
@@ -70,24 +75,21 @@ class Tables:
         self.settings = settings
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _schemas:  # read each footer once per session, not once per query
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     # ---------------------------------------------------------------- timetable
     @cached_property
     def stops_raw(self) -> DataFrame:
-        parts = with_stop_place(self.raw("part").select("p_partkey"), F.col("p_partkey"))
-        stop_id = F.concat(F.lit("S"), "p_partkey")
-        first = parts.select(
-            stop_id.alias("stop_id"),
-            F.concat(F.lit("Stop "), "p_partkey").alias("stop_name"),
-            "stop_lat",
-            "stop_lon",
+        parts = with_stop_place(self.raw("part").select("p_partkey"), "p_partkey")
+        place = ("stop_lat", "stop_lon")
+        first = parts.selectExpr(
+            "'S' || p_partkey as stop_id", "'Stop ' || p_partkey as stop_name", *place
         )
-        again = parts.filter("p_partkey % 3 = 0").select(
-            stop_id.alias("stop_id"),
-            F.concat(F.lit("Stop "), "p_partkey", F.lit(" bis")).alias("stop_name"),
-            "stop_lat",
-            "stop_lon",
+        again = first.filter("cast(substr(stop_id, 2) as long) % 3 = 0").selectExpr(
+            "stop_id", "stop_name || ' bis' as stop_name", *place
         )
         return first.unionByName(again)
 
@@ -97,11 +99,10 @@ class Tables:
 
     @cached_property
     def routes_raw(self) -> DataFrame:
-        base = self.raw("supplier").select("s_suppkey", "s_nationkey")
-        route = base.select(
-            F.concat(F.lit("R"), "s_suppkey").alias("route_id"),
-            F.concat(F.lit("OP"), F.col("s_nationkey") % 7).alias("agency_id"),
-            F.concat(F.lit("Line "), F.col("s_suppkey") + 100).alias("route_short_name"),
+        route = self.raw("supplier").selectExpr(
+            "'R' || s_suppkey as route_id",
+            "'OP' || (s_nationkey % 7) as agency_id",
+            "'Line ' || (s_suppkey + 100) as route_short_name",
         )
         return route.unionByName(route.filter("substr(route_id, -1) = '5'"))
 
@@ -111,43 +112,33 @@ class Tables:
 
     @cached_property
     def trips_raw(self) -> DataFrame:
-        return self.raw("orders").select(
-            F.concat(F.lit("T"), "o_orderkey").alias("trip_id"),
-            F.concat(F.lit("R"), F.expr(ROUTE_OF_ORDER.format(k="o_orderkey"))).alias("route_id"),
-            F.expr("o_orderkey div 150").alias("service_id"),
+        return self.raw("orders").selectExpr(
+            "'T' || o_orderkey as trip_id",
+            f"'R' || ({ROUTE_OF_ORDER.format(k='o_orderkey')}) as route_id",
+            "o_orderkey div 150 as service_id",
         )
 
     def _lines(self, lines: DataFrame | None = None) -> DataFrame:
         """lineitem with route number, stop number and scheduled second."""
         lines = self.raw("lineitem") if lines is None else lines
-        return lines.withColumn(
-            "rn", F.expr(ROUTE_OF_ORDER.format(k="l_orderkey"))
-        ).withColumns(
-            {
-                "k": F.col("rn") * 20 + (F.col("l_partkey") + F.col("l_linenumber")) % 25,
-                "sched_sec": 18_000
-                + ((F.col("l_orderkey") * 37) % 1150) * 60
-                + F.col("l_linenumber") * 240,
-            }
+        numbered = computed_once(lines, rn=ROUTE_OF_ORDER.format(k="l_orderkey"))
+        return numbered.selectExpr(
+            "*",
+            "rn * 20 + (l_partkey + l_linenumber) % 25 as k",
+            "18000 + (l_orderkey * 37 % 1150) * 60 + l_linenumber * 240 as sched_sec",
         )
 
     @cached_property
     def stop_times_raw(self) -> DataFrame:
-        sec = F.col("sched_sec")
-
-        def two(x: Column) -> Column:
-            return F.lpad(x.cast("string"), 2, "0")
-
-        return self._lines().select(
-            F.concat(F.lit("T"), "l_orderkey").alias("trip_id"),
-            F.concat(F.lit("S"), "k").alias("stop_id"),
-            F.col("l_linenumber").alias("stop_sequence"),
-            F.concat_ws(
-                ":",
-                two(F.expr("sched_sec div 3600")),
-                two(F.expr("sched_sec % 3600 div 60")),
-                two(sec % 60),
-            ).alias("arrival_time"),
+        def two(x: str) -> str:
+            return f"lpad(cast({x} as string), 2, '0')"
+
+        clock = (two("sched_sec div 3600"), two("sched_sec % 3600 div 60"), two("sched_sec % 60"))
+        return self._lines().selectExpr(
+            "'T' || l_orderkey as trip_id",
+            "'S' || k as stop_id",
+            "l_linenumber as stop_sequence",
+            f"concat_ws(':', {', '.join(clock)}) as arrival_time",
         )
 
     @cached_property
@@ -160,48 +151,40 @@ class Tables:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        flags = [
-            (((key + day) % 3) != 0).cast("int").alias(name)
+        flags = (
+            f"cast((s_suppkey + {day}) % 3 <> 0 as int) as {name}"
             for day, name in enumerate(gtfs.WEEKDAYS)
-        ]
-        return self.raw("supplier").select(
-            key.alias("service_id"),
+        )
+        return self.raw("supplier").selectExpr(
+            "s_suppkey as service_id",
             *flags,
-            F.lit(20231201).alias("start_date"),
-            F.when(key % 9 == 8, 20240103).otherwise(20241231).alias("end_date"),
+            "20231201 as start_date",
+            "case when s_suppkey % 9 = 8 then 20240103 else 20241231 end as end_date",
         )
 
     # ---------------------------------------------------------------- vehicle pings
     def pings_of(self, lines: DataFrame) -> DataFrame:
         """All reported pings of the given lineitem rows (batch or stream)."""
-        late = F.when((F.col("l_tax") == 0.08) & (F.col("l_discount") == 0.1), 7200).otherwise(0)
-        day = (F.col("l_orderkey") + (F.col("l_linenumber") == 7).cast("int")) % 7
-        second = (
-            F.col("sched_sec")
-            + (F.col("l_quantity").cast("int") - 20) * 5
-            + (F.col("rn") % 5) * 20
-            + late
+        placed = with_stop_place(self._lines(lines), "k").selectExpr(
+            "*", "(l_orderkey + cast(l_linenumber = 7 as int)) % 7 as day"
         )
-        placed = with_stop_place(self._lines(lines), F.col("k")).withColumns(
-            {"day": day.cast("int"), "ts": F.lit(STUDY_EPOCH) + day * 86_400 + second}
+        timed = computed_once(
+            placed,
+            ts=f"{STUDY_EPOCH} + day * 86400 + sched_sec + (cast(l_quantity as int) - 20) * 5 "
+            "+ (rn % 5) * 20 + if(l_tax = 0.08D and l_discount = 0.1D, 7200, 0)",
+            lat=f"stop_lat + (l_partkey * 13 % 70) / {METRES_PER_DEGREE}D",
         )
-        north = ((F.col("l_partkey") * 13) % 70) / F.lit(METRES_PER_DEGREE)
-        return placed.select(
-            F.concat(F.lit("V"), "l_suppkey").alias("vehicle_id"),
-            F.when(F.col("l_partkey") % 10 != 0, F.concat(F.lit("T"), "l_orderkey")).alias(
-                "trip_id"
-            ),
-            F.concat(F.lit("R"), "rn").alias("route_id"),
-            (F.col("stop_lat") + north).alias("lat"),
-            F.col("stop_lon").alias("lon"),
-            F.when(F.col("l_partkey") % 4 != 0, (F.col("l_partkey") % 360).cast("double")).alias(
-                "bearing"
-            ),
+        return timed.selectExpr(
+            "'V' || l_suppkey as vehicle_id",
+            "if(l_partkey % 10 <> 0, 'T' || l_orderkey, null) as trip_id",
+            "'R' || rn as route_id",
+            "lat",
+            "stop_lon as lon",
+            "if(l_partkey % 4 <> 0, cast(l_partkey % 360 as double), null) as bearing",
             "ts",
-            F.timestamp_seconds("ts").alias("ts_utc"),
-            F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("day")).alias("service_date"),
-            F.expr("ts div 60").alias("snapshot_id"),
+            "timestamp_seconds(ts) as ts_utc",
+            "date_add(date '2024-01-01', cast(day as int)) as service_date",
+            "ts div 60 as snapshot_id",
         )
 
     @cached_property
@@ -255,45 +238,30 @@ class Tables:
     @cached_property
     def areas_raw(self) -> DataFrame:
         """Square areas as polygon rings, with gaps."""
-        base = (
-            self.raw("customer")
-            .filter("c_custkey % 7 <> 3")
-            .select(F.col("c_custkey").alias("_area"))
-        )
-        base = base.withColumns({"x": area_west(F.col("_area")), "y": area_south(F.col("_area"))})
-
-        def corner(dx: float, dy: float) -> Column:
-            x = F.col("x") + F.lit(dx) if dx else F.col("x")
-            y = F.col("y") + F.lit(dy) if dy else F.col("y")
-            return F.struct(x.alias("x"), y.alias("y"))
-
-        ring = F.array(
-            corner(0, 0),
-            corner(AREA_W, 0),
-            corner(AREA_W, AREA_H),
-            corner(0, AREA_H),
-            corner(0, 0),
-        )
-        return base.select(
-            F.concat(F.lit("E"), "_area").alias("lsoa_code"), F.array(ring).alias("rings")
+        placed = computed_once(
+            self.raw("customer").select("c_custkey").filter("c_custkey % 7 <> 3"),
+            x=AREA_WEST.format(area="c_custkey"),
+            y=AREA_SOUTH.format(area="c_custkey"),
         )
 
+        def corner(x: str, y: str) -> str:
+            return f"named_struct('x', {x}, 'y', {y})"
+
+        east, north = f"x + {AREA_W}D", f"y + {AREA_H}D"
+        corners = (("x", "y"), (east, "y"), (east, north), ("x", north), ("x", "y"))
+        ring = ", ".join(corner(*c) for c in corners)
+        return placed.selectExpr("'E' || c_custkey as lsoa_code", f"array(array({ring})) as rings")
+
     @cached_property
     def areas(self) -> DataFrame:
         return spatial.polygons_in_bbox(self.areas_raw, self.settings.box)
 
     @cached_property
     def deprivation(self) -> DataFrame:
-        return (
-            self.raw("customer")
-            .filter("c_custkey % 17 <> 5")
-            .select(
-                F.concat(F.lit("E"), "c_custkey").alias("lsoa_code"),
-                F.expr("1 + ((c_custkey div 15) * 3 + (c_custkey % 15) div 5) % 10")
-                .cast("int")
-                .alias("imd_decile"),
-                ((F.col("c_custkey") * 13) % 800 / F.lit(10.0)).alias("imd_score"),
-            )
+        return self.raw("customer").filter("c_custkey % 17 <> 5").selectExpr(
+            "'E' || c_custkey as lsoa_code",
+            "cast(1 + ((c_custkey div 15) * 3 + (c_custkey % 15) div 5) % 10 as int) as imd_decile",
+            "(c_custkey * 13 % 800) / 10D as imd_score",
         )
 
     # ---------------------------------------------------------------- disruptions
@@ -414,21 +382,17 @@ class Tables:
     @cached_property
     def predictions(self) -> DataFrame:
         """Scores of three models on the labelled documents."""
-        models = F.explode(F.array(*(F.lit(m) for m in (1, 2, 3))))
-        noise = ((F.col("doc_id") * 7919 * F.col("m")) % 1000) / F.lit(1000.0)
-        score = F.round(F.lit(0.35) * F.col("quality") + F.lit(0.65) * noise, 3)
-        return (
-            self.raw("labels")
-            .select("doc_id", "quality", models.alias("m"))
-            .select(
-                F.concat(F.lit("model_"), "m").alias("model"),
-                F.col("doc_id").alias("case_id"),
-                F.col("quality").alias("label"),
-                score.alias("score"),
-                (score >= 0.5).cast("int").alias("prediction"),
-            )
+        scored = self.raw("labels").selectExpr(
+            "doc_id", "quality", "explode(array(1, 2, 3)) as m"
+        )
+        scored = computed_once(
+            scored,
+            score="round(0.35D * quality + 0.65D * ((doc_id * 7919 * m) % 1000 / 1000D), 3)",
+        )
+        return scored.selectExpr(
+            "'model_' || m as model",
+            "doc_id as case_id",
+            "quality as label",
+            "score",
+            "cast(score >= 0.5D as int) as prediction",
         )
-
-
-def first_of(df: DataFrame, keys: list[str]) -> DataFrame:
-    return keep_first(df, keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timepoint.operators import headway, operation, ranking, reliability, reports, warehouse
+from timepoint.operators import headway, operation, ranking, reliability, reports
 from timepoint.plans.binding import Tables
 from timepoint.plans.registry import query
 
@@ -136,13 +136,12 @@ def _(t: Tables) -> DataFrame:
 @query(
     "worst_routes",
     """select route_id, route_short_name, compliance_rate, band_days
-       from routes_rated join dim_route using (route_id)
+       from routes_rated join routes using (route_id)
        where band_days >= 3 order by compliance_rate, route_id limit 10""",
     "compliance_rate",
 )
 def worst_routes(t: Tables) -> DataFrame:
-    dims = warehouse.dim_route(t.routes, t.route_areas)
-    return reports.worst_routes(t.band_days, dims, settings=t.settings)
+    return reports.worst_routes(t.band_days, t.routes, settings=t.settings)
 
 
 @query(

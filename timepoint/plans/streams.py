@@ -46,6 +46,30 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "stream_quality",
+    f"""with reports as (
+            select service_date, vehicle_id, ts, count(*) filter ({IN_BOX}) as n,
+                   count(*) filter (not ({IN_BOX})) as out,
+                   max(cast({IN_BOX} and trip_id is not null as int)) as named
+            from pings_repeated group by 1, 2, 3)
+        select service_date, cast(sum(n) as bigint) as raw_pings,
+               count(*) filter (n > 0) as deduped_pings, cast(sum(out) as bigint) as out_of_bbox,
+               cast(sum(named) as bigint) as with_trip_id,
+               round(1e0 - count(*) filter (n > 0) / sum(n), 4) as duplicate_share,
+               round(sum(named) / count(*) filter (n > 0), 4) as trip_id_share
+        from reports group by 1""",
+    "duplicate_share trip_id_share",
+)
+def _(t: Tables) -> DataFrame:
+    return positions.stream_quality(
+        _repeated_stream(t),
+        t.settings.box,
+        positions.new_folder(t.spark, "reports"),
+        positions.new_folder(t.spark, "progress"),
+    )
+
+
+@query(
+    "stream_daily_counters",
     f"""select ts // 86400 as epoch_day,
                count(*) filter ({IN_BOX}) as raw_pings,
                count(*) filter (not ({IN_BOX})) as out_of_bbox,
@@ -53,8 +77,8 @@ def _(t: Tables) -> DataFrame:
         from pings_repeated group by 1""",
 )
 def _(t: Tables) -> DataFrame:
-    counters = positions.stream_quality(_repeated_stream(t), t.settings.box)
-    sink = positions.new_folder(t.spark, "quality")
+    counters = positions.daily_counters(_repeated_stream(t), t.settings.box)
+    sink = positions.new_folder(t.spark, "counters")
 
     def replace(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(sink)

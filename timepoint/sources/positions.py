@@ -167,31 +167,47 @@ def dedup_pings(pings: DataFrame) -> DataFrame:
     return first.withColumn("ts_utc", F.timestamp_seconds("ts"))
 
 
-def parse_quality_by_day(pings: DataFrame, box: Box, snapshots: DataFrame | None = None) -> DataFrame:
-    """Per service date: snapshots read, pings, duplicates, out-of-box and trip shares.
+def report_counts(pings: DataFrame, box: Box) -> DataFrame:
+    """Sightings per (date, vehicle, report time), inside and outside the box.
 
-    Repeats are counted per (date, vehicle, time) first, a map-side combinable aggregate,
-    so a day with most of the pings is not gathered anywhere.
+    The counts of several batches may be stacked: :func:`quality_of_reports` merges them.
     """
     inside = F.coalesce(in_bbox(F.col("lat"), F.col("lon"), box), F.lit(False))
-    reports = pings.groupBy("service_date", "vehicle_id", "ts").agg(
+    return pings.groupBy("service_date", "vehicle_id", "ts").agg(
         F.count_if(inside).alias("inside"),
         F.count_if(~inside).alias("outside"),
         F.max((inside & F.col("trip_id").isNotNull()).cast("int")).alias("named"),
     )
-    raw, kept = F.col("raw_pings"), F.col("deduped_pings")
-    days = reports.groupBy("service_date").agg(
+
+
+def quality_of_reports(reports: DataFrame) -> DataFrame:
+    """Per service date: pings, distinct reports, duplicate, out-of-box and trip shares."""
+    merged = reports.groupBy("service_date", "vehicle_id", "ts").agg(
+        F.sum("inside").alias("inside"),
+        F.sum("outside").alias("outside"),
+        F.max("named").alias("named"),
+    )
+    days = merged.groupBy("service_date").agg(
         F.sum("inside").alias("raw_pings"),
         F.count_if(F.col("inside") > 0).alias("deduped_pings"),
         F.sum("outside").alias("out_of_bbox"),
         F.sum("named").alias("with_trip_id"),
     )
-    zero = F.lit(0.0)
-    quality = days.select(
+    raw, kept, zero = F.col("raw_pings"), F.col("deduped_pings"), F.lit(0.0)
+    return days.select(
         "*",
         F.coalesce(F.round(F.lit(1.0) - F.try_divide(kept, raw), 4), zero).alias("duplicate_share"),
         F.coalesce(F.round(F.try_divide("with_trip_id", kept), 4), zero).alias("trip_id_share"),
     )
+
+
+def parse_quality_by_day(pings: DataFrame, box: Box, snapshots: DataFrame | None = None) -> DataFrame:
+    """Per service date: snapshots read, pings, duplicates, out-of-box and trip shares.
+
+    Repeats are counted per (date, vehicle, time) first, a map-side combinable aggregate,
+    so a day with most of the pings is not gathered anywhere.
+    """
+    quality = quality_of_reports(report_counts(pings, box))
     if snapshots is None:
         return quality
     files = snapshots.groupBy("service_date").agg(

@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from timepoint.functions.geo import in_bbox
 from timepoint.settings import Box
-from timepoint.sources.positions import decode_position_snapshots, decoded_pings
+from timepoint.sources.positions import (
+    decode_position_snapshots,
+    decoded_pings,
+    quality_of_reports,
+    report_counts,
+)
 from timepoint.sources.storage import shared_directory
 
 
@@ -44,7 +49,21 @@ def stream_dedup_pings(pings: DataFrame, lateness: str = "2 days") -> DataFrame:
     )
 
 
-def stream_quality(pings: DataFrame, box: Box, lateness: str = "2 days") -> DataFrame:
+def stream_quality(pings: DataFrame, box: Box, table: str, checkpoint: str) -> DataFrame:
+    """Quality counters per service date over everything streamed so far.
+
+    Each micro-batch leaves its report counts under its own number, so a batch repeated
+    after a failure replaces itself; merging the counts gives exactly the batch result.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        report_counts(batch, box).write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    run_batches(pings, keep, checkpoint)
+    return quality_of_reports(pings.sparkSession.read.parquet(table))
+
+
+def daily_counters(pings: DataFrame, box: Box, lateness: str = "2 days") -> DataFrame:
     """Running raw and out-of-box counters per day of report time."""
     inside = F.coalesce(in_bbox(F.col("lat"), F.col("lon"), box), F.lit(False))
     return (
