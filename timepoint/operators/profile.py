@@ -186,27 +186,36 @@ def class_balance(rows: DataFrame, label: str = "compliant") -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations in long form, one pass over the rows.
 
-    Each pair is aggregated once and listed in both directions; a constant column has no
-    correlation (NULL).
+    Each row lists its column pairs and is folded into one running correlation per pair
+    inside its task, so only one record per pair and task is shuffled. A constant column
+    has no correlation (NULL).
     """
     names = list(columns)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-
-    def pair_value(a: str, b: str) -> Column:
-        # a constant column leaves only rounding noise in its variance
-        varies = (F.max(a) > F.min(a)) & (F.max(b) > F.min(b))
-        return F.when(varies, F.corr(F.col(a).cast("double"), F.col(b).cast("double")))
-
-    values = df.agg(*(pair_value(a, b).alias(f"{a}|{b}") for a, b in pairs))
-
-    def entry(a: str, b: str, source: str) -> Column:
-        return F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{source}`").alias("correlation")
+    listed = F.array(
+        *(
+            F.struct(
+                F.lit(a).alias("a"),
+                F.lit(b).alias("b"),
+                F.col(a).cast("double").alias("x"),
+                F.col(b).cast("double").alias("y"),
+            )
+            for i, a in enumerate(names)
+            for b in names[i:]
         )
-
-    listed = [entry(a, b, f"{a}|{b}") for a, b in pairs]
-    listed += [entry(b, a, f"{a}|{b}") for a, b in pairs if a != b]
-    return values.select(F.inline(F.array(*listed)))
+    )
+    # a constant column leaves only rounding noise in its variance
+    varies = (F.max("x") > F.min("x")) & (F.max("y") > F.min("y"))
+    upper = (
+        df.select(F.inline(listed))
+        .groupBy("a", "b")
+        .agg(F.when(varies, F.corr("x", "y")).alias("correlation"))
+    )
+    both = F.array(
+        F.struct(F.col("a"), F.col("b"), F.col("correlation")),
+        F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("correlation")),
+    )
+    mirrored = F.when(F.col("a") == F.col("b"), F.slice(both, 1, 1)).otherwise(both)
+    return upper.select(F.inline(mirrored))
 
 
 def box_stats(

@@ -25,6 +25,7 @@ from timepoint.functions.geo import in_bbox
 from timepoint.operators import disruptions, equity, headway, matching, reliability, spatial
 from timepoint.settings import Settings
 from timepoint.sources import gtfs, situations, weather
+from timepoint.sources.storage import checkpointed
 
 STUDY = dataclasses.replace(
     Settings(),
@@ -365,7 +366,8 @@ class Tables:
 
     @cached_property
     def stop_routes(self) -> DataFrame:
-        return disruptions.stop_route_bridge(self.stop_times, self.trips)
+        # used up to three times in one plan; distinct pairs are far fewer than stop times
+        return checkpointed(disruptions.stop_route_bridge(self.stop_times, self.trips))
 
     @cached_property
     def route_areas(self) -> DataFrame:

@@ -76,11 +76,11 @@ def routes_dedup(routes: DataFrame) -> DataFrame:
 def stop_times_in_region(
     stop_times: DataFrame, stops: DataFrame, distinct: bool = True
 ) -> DataFrame:
-    """Stop times at region stops; repeated rows of overlapping feeds are removed."""
-    kept = stop_times.join(stops.select("stop_id"), "stop_id", "left_semi")
-    if distinct:
-        kept = keep_first(kept, ["trip_id", "stop_sequence", "stop_id"])
-    return kept.select("trip_id", "stop_id", "stop_sequence", "arrival_time")
+    """Stop times at region stops; rows repeated by overlapping feeds are removed."""
+    kept = stop_times.select("trip_id", "stop_id", "stop_sequence", "arrival_time").join(
+        stops.select("stop_id"), "stop_id", "left_semi"
+    )
+    return kept.distinct() if distinct else kept
 
 
 def trips_touching_region(trips: DataFrame, region_stop_times: DataFrame) -> DataFrame:
