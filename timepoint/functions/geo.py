@@ -58,8 +58,8 @@ class Grid:
         reach_lat = F.lit(math.degrees(angle) * slack)
         ratio = F.lit(math.sin(angle)) / F.abs(F.cos(F.radians(lat)))
         reach_lon = F.when(
-            ratio < 1.0, F.least(F.degrees(F.asin(ratio)) * slack, F.lit(179.0))
-        ).otherwise(F.lit(179.0))
+            ratio < 1.0, F.degrees(F.asin(ratio)) * slack
+        ).otherwise(F.lit(180.0))
         rows = F.sequence(self._index(lat - reach_lat), self._index(lat + reach_lat))
         cols = F.sequence(self._index(lon - reach_lon), self._index(lon + reach_lon))
         wrapped = F.array_distinct(

@@ -203,13 +203,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             for b in names[i:]
         )
     )
+    complete = df.select(F.inline(listed)).select(
+        "a",
+        "b",
+        F.when(F.col("y").isNotNull(), F.col("x")).alias("x"),
+        F.when(F.col("x").isNotNull(), F.col("y")).alias("y"),
+    )
     # a constant column leaves only rounding noise in its variance
     varies = (F.max("x") > F.min("x")) & (F.max("y") > F.min("y"))
-    upper = (
-        df.select(F.inline(listed))
-        .groupBy("a", "b")
-        .agg(F.when(varies, F.corr("x", "y")).alias("correlation"))
-    )
+    pearson = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    upper = complete.groupBy("a", "b").agg(F.when(varies, pearson).alias("correlation"))
     both = F.array(
         F.struct(F.col("a"), F.col("b"), F.col("correlation")),
         F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("correlation")),
