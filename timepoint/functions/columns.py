@@ -31,6 +31,18 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, float | int]) -> DataFra
     return df.withColumns(missing).fillna(dict(defaults))
 
 
+def computed_once(df: DataFrame, **values: Column | str) -> DataFrame:
+    """Add columns as generator output, so that each is evaluated once per row.
+
+    A plain projected column is copied into every later filter and expression that uses
+    it, which for text parsing or long formulas costs more than the rest of the scan.
+    """
+    row = F.struct(
+        *((F.expr(v) if isinstance(v, str) else v).alias(name) for name, v in values.items())
+    )
+    return df.select("*", F.inline(F.array(row)))
+
+
 def nan_to_null(x: Column) -> Column:
     return F.when(~F.isnan(x), x)
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from timepoint.functions.columns import computed_once
 from timepoint.functions.timeofday import gtfs_seconds, service_hour, time_band
 from timepoint.operators.reliability import in_some_band
 from timepoint.settings import Settings
@@ -48,10 +49,11 @@ def _banded(events: DataFrame, settings: Settings) -> DataFrame:
 def scheduled_events(
     stop_times: DataFrame, trips: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    timed = stop_times.select(
-        "trip_id", "stop_id", gtfs_seconds(F.col("arrival_time")).alias("sched_sec")
+    timed = computed_once(
+        stop_times.select("trip_id", "stop_id", "arrival_time"),
+        sched_sec=gtfs_seconds(F.col("arrival_time")),
     )
-    return _banded(timed, settings).join(trips.select("trip_id", "route_id"), "trip_id")
+    return _banded(timed.drop("arrival_time"), settings).join(trips.select("trip_id", "route_id"), "trip_id")
 
 
 def headway_scheduled(

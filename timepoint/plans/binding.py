@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from timepoint.functions.columns import computed_once
 from timepoint.functions.geo import in_bbox
 from timepoint.operators import disruptions, equity, headway, matching, reliability, spatial
 from timepoint.settings import Settings
@@ -61,12 +62,6 @@ def with_stop_place(df: DataFrame, k: str) -> DataFrame:
     )
 
 
-def computed_once(df: DataFrame, **values: str) -> DataFrame:
-    """Add columns as generator output, so filters on them do not repeat their formulas."""
-    fields = ", ".join(f"'{name}', {value}" for name, value in values.items())
-    return df.selectExpr("*", f"inline(array(named_struct({fields})))")
-
-
 class Tables:
     """Lazy transit tables over one directory of driver tables."""
 
@@ -135,11 +130,12 @@ class Tables:
             return f"lpad(cast({x} as string), 2, '0')"
 
         clock = (two("sched_sec div 3600"), two("sched_sec % 3600 div 60"), two("sched_sec % 60"))
-        return self._lines().selectExpr(
+        timed = computed_once(self._lines(), arrival_time=f"concat_ws(':', {', '.join(clock)})")
+        return timed.selectExpr(
             "'T' || l_orderkey as trip_id",
             "'S' || k as stop_id",
             "l_linenumber as stop_sequence",
-            f"concat_ws(':', {', '.join(clock)}) as arrival_time",
+            "arrival_time",
         )
 
     @cached_property
