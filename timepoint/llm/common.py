@@ -64,7 +64,7 @@ def arrow_map(
         )
         for out in work(lists):
             columns = [
-                c if isinstance(c := out[f.name], pa.Array) else pa.array(c, type=f.type)
+                c.cast(f.type) if isinstance(c := out[f.name], pa.Array) else pa.array(c, type=f.type)
                 for f in arrow
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)

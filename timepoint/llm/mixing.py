@@ -13,7 +13,7 @@ sorted array; only DataFrame functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timepoint.llm.common import WORD, durable
@@ -187,3 +187,40 @@ def mix(
         (copies * F.col("row.size")).alias("taken"),
         copies.alias("copies"),
     )
+
+
+def mixed_documents(docs: DataFrame, **settings: object) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it; same columns.
+
+    Rows are found again by doc_id; where ids are missing or repeated, rows of one id and
+    size are taken together, as often as all of them.
+    """
+    taken = durable(mix(docs, **settings).select("doc_id", "size", "copies"))
+    rows = docs.select("doc_id", F.struct("*").alias("row"))
+    ids = taken.filter("doc_id IS NOT NULL").select("doc_id").distinct()
+    if ids.count() == taken.count():
+        some = taken.filter("copies > 0").select(F.col("doc_id").alias("_taken"), "copies")
+        found = rows.join(some, F.col("doc_id") == F.col("_taken"))
+    else:
+        sums = durable(
+            taken.groupBy("doc_id", "size")
+            .agg(F.sum("copies").alias("copies"), F.count("*").alias("alike"))
+            .filter("copies > 0")
+            .select(F.col("doc_id").alias("_taken"), F.col("size").alias("_size"), "copies", "alike")
+        )
+        # a row of several alike stands for its share; the draw of which gets one more is fixed
+        # by a number given within the checkpointed rows
+        numbered = durable(
+            rows.select("doc_id", "row", n_words("row.text").alias("size"))
+        ).withColumn("at", F.xxhash64(F.monotonically_increasing_id()))
+        met = numbered.join(
+            sums, F.col("doc_id").eqNullSafe(F.col("_taken")) & (F.col("size") == F.col("_size"))
+        )
+        turn = F.row_number().over(Window.partitionBy("doc_id", "size").orderBy("at"))
+        found = met.withColumn("turn", turn).withColumn(
+            "copies",
+            F.floor(F.col("copies") / F.col("alike"))
+            + (F.col("turn") <= F.pmod("copies", "alike")).cast("long"),
+        ).filter("copies > 0")
+    copies = F.sequence(F.lit(1), F.col("copies").cast("int"))
+    return found.select("row", F.explode(copies)).select("row.*")

@@ -303,3 +303,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
         .otherwise(F.coalesce("component_id", "doc_id"))
         .alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each group, the smallest doc_id; same columns.
+
+    Of repeated rows of one doc_id one stays. Rows without a doc_id all stay.
+    """
+    judged = durable(near_duplicates(docs, percent))
+    dropped = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct("*").alias("row"))
+    kept = rows.join(durable(dropped.distinct()), F.col("_id") == F.col("_dropped"), "left_anti")
+    repeated = durable(
+        judged.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    )
+    if repeated.isEmpty():
+        return kept.select("row.*")
+    again = kept.join(repeated, F.col("_id") == F.col("doc_id"), "left_semi")
+    once = again.groupBy("_id").agg(F.first("row").alias("row")).select("row.*")
+    single = kept.join(repeated, F.col("_id") == F.col("doc_id"), "left_anti").select("row.*")
+    return single.unionAll(once)

@@ -9,9 +9,12 @@ meet, so a packing needs no shuffle, and its memory is the open sequences.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +64,8 @@ class WordIds:
 
     The text is cut at spaces and newlines; where white space is dropped by the tokenizer
     and separates pre-tokens, the parts encode independently, so frequent parts are encoded
-    once. That is proved on the file's own settings; other files encode whole texts.
+    once. So are letters and the punctuation behind them, which are pre-tokens of their own,
+    in lower case. That is checked on the file's own settings; others encode whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -81,6 +85,8 @@ class WordIds:
             and bool(first.get("invert"))
             and self._encode(" ") == b""
             and self._encode("a b\nc") == self._encode("a") + self._encode("b") + self._encode("c")
+            and self._encode("Ab") == self._encode("ab")
+            and self._encode("ab#,.") == self._encode("ab") + self._encode("#,.")
             and not any(
                 x["single_word"] or x["lstrip"] or x["rstrip"] or " " in x["content"]
                 for x in settings["added_tokens"]
@@ -90,23 +96,43 @@ class WordIds:
 
     def _encode(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return np.array(ids, "<u4").tobytes()
 
-    def of(self, text: str) -> bytes:
+    def of(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; parts not met before are encoded together."""
         if not self._cut:
-            return self._encode(text)
-        known, found = self._known, []
-        for part in text.replace("\n", " ").split(" "):
-            ids = known.get(part)
-            if ids is None:
-                ids = self._encode(part)
-                if len(known) >= _REMEMBERED:
-                    known.clear()
-                    known[""] = b""
-                if len(part) < 200:
-                    known[part] = ids
-            found.append(ids)
-        return b"".join(found)
+            return list(map(self._encode, texts))
+        if len(self._known) >= _REMEMBERED:
+            self._known = {"": b""}
+        known = self._known
+        parts = [_lowered(text).replace("\n", " ").split(" ") for text in texts]
+        new = set().union(*parts).difference(known)
+        tails = {part: m.groups() for part in new if (m := _TAIL.fullmatch(part)) and m[1].isalpha()}
+        plain = list(
+            new.difference(tails).union(x for pair in tails.values() for x in pair).difference(known)
+        )
+        for at in range(0, len(plain), 1000):
+            some = plain[at : at + 1000]
+            found = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            known.update(
+                zip(some, (np.array(x.ids, "<u4").tobytes() for x in found), strict=True)
+            )
+        known.update((part, known[a] + known[b]) for part, (a, b) in tails.items())
+        return [b"".join(map(known.__getitem__, own)) for own in parts]
+
+
+def _lowered(text: str) -> str:
+    """Lower case where that commutes with the tokenizer's own normalisation."""
+    plain = text.isascii() or (
+        not _ODD.search(text) and unicodedata.is_normalized("NFC", text)
+    )
+    return text.lower() if plain and "<|" not in text else text
+
+
+#: Characters whose lower case depends on their place or is more than one.
+_ODD = re.compile("[\u03a3\u0130]")
+#: Letters and then ASCII punctuation other than apostrophes and the start of special strings.
+_TAIL = re.compile(r"([^!-/:-@\[-`{-~]+)([!-&(-/:;=-@\[-`{-~]+)")
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -130,14 +156,16 @@ def pack(
     """
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        ids_of = word_ids(path).of
+        tokens = word_ids(path)
         base = TaskContext.get().partitionId() << 40
         bins = BestFit(size, most_open)
         last = end.to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = ids_of(text or "") + last
+            texts = [text or "" for text in batch["text"]]
+            ids_of = (x for at in range(0, len(texts), 500) for x in tokens.of(texts[at : at + 500]))
+            for doc, ids in zip(batch["doc_id"], ids_of, strict=True):
+                ids += last
                 for piece, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     length = len(part) // 4

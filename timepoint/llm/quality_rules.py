@@ -10,13 +10,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from timepoint.llm.common import arrow_map
-
 #: Fixed by the contract.
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 MIN_WORDS, REPEAT_PERCENT = 50, 50
@@ -102,30 +100,41 @@ def measure(text: str | None) -> tuple[int, ...]:
     )
 
 
-def ledger(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Per document: ``keys``, every measurement and ``failed`` (bit i: rule i failed).
+def _measured(text: Column) -> Column:
+    """The measurements of each text as one struct."""
+
+    @F.pandas_udf(", ".join(f"{m} long" for m in MEASURES))
+    def measured(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([measure(t) for t in texts], columns=list(MEASURES), dtype="int64")
+
+    return measured(text.cast("string"))
+
+
+def _failed() -> Column:
+    """The bits of all rules over measurement columns; a rule's bit is set where it fails."""
+    total = F.lit(0).cast("long")
+    for bit, failed in enumerate(RULES.values()):
+        own = F.when(F.expr(failed), F.lit(1 << bit)).otherwise(F.lit(0))
+        total = total.bitwiseOR(own.cast("long"))
+    return total
 
-    Rows are independent: repeated rows, NULL keys and other columns of ``docs`` do not
+
+def ledger(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, every measurement and ``failed`` (bit i: rule i failed).
+
+    Rows are independent: repeated rows, NULL ids and other columns of ``docs`` do not
     matter. NULL and empty texts have no words and so fail ``few_words`` only. A whole text
     is read whatever its length; no rows meet, so nothing is shuffled.
     """
+    measured = docs.select("doc_id", _measured(F.col("text")).alias("_measured"))
+    return measured.select("doc_id", "_measured.*").withColumn("failed", _failed())
 
-    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            rows = list(zip(*map(measure, batch["_text"]), strict=True)) or [[]] * len(MEASURES)
-            yield {k: batch[k] for k in keys} | dict(zip(MEASURES, rows, strict=True))
-
-    slim = docs.select(*keys, F.col("text").cast("string").alias("_text"))
-    kinds = ", ".join(f"`{k}` {slim.schema[k].dataType.simpleString()}" for k in keys)
-    measured = arrow_map(slim, kinds + "".join(f", {m} bigint" for m in MEASURES), work)
-    bits = [
-        F.when(F.expr(failed), F.lit(1 << bit)).otherwise(F.lit(0)).cast("long")
-        for bit, failed in enumerate(RULES.values())
-    ]
-    total = bits[0]
-    for bit in bits[1:]:
-        total = total.bitwiseOR(bit)
-    return measured.withColumn("failed", total)
+
+def accepted(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """The rows of ``docs`` that pass a policy, with all their columns as they are."""
+    row = docs.select(F.struct("*").alias("row"), _measured(F.col("text")).alias("measured"))
+    judged = row.select("row", "measured.*").withColumn("failed", _failed())
+    return judged.filter(passes(policy)).select("row.*")
 
 
 def passes(policy: str = CURRENT, failed: str = "failed") -> Column:

@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timepoint.llm import licenses, mixing, near_dedup, packing, quality_rules, token_counts
+from timepoint.llm import (
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+)
 from timepoint.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +65,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.drop("passages", "removable")
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_mixing": op2_mixing,
@@ -64,5 +77,6 @@ QUERIES: dict[str, Query] = {
     "op6_licenses": op6_licenses,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
+    "op10_substrings": op10_substrings,
 }
 CHECKS: dict[str, str] = {}
