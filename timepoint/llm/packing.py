@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from timepoint.llm.common import arrow_map
 
 SEQUENCE, OPEN, END = 2048, 1024, 0
-_REMEMBERED = 400_000
+_REMEMBERED = 1_000_000
 
 
 class BestFit:
@@ -107,7 +107,7 @@ class WordIds:
         known = self._known
         parts = [_lowered(text).replace("\n", " ").split(" ") for text in texts]
         new = set().union(*parts).difference(known)
-        tails = {part: m.groups() for part in new if (m := _TAIL.fullmatch(part)) and m[1].isalpha()}
+        tails = {part: m.groups() for part in new if (m := _TAIL.fullmatch(part)) and m[1].lower().isalpha()}
         plain = list(
             new.difference(tails).union(x for pair in tails.values() for x in pair).difference(known)
         )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from timepoint.llm import (
+    grades,
     licenses,
     mixing,
     near_dedup,
@@ -14,6 +15,8 @@ from timepoint.llm import (
     quality_rules,
     substring_dedup,
     token_counts,
+    topk,
+    wrappers,
 )
 from timepoint.llm.common import table
 
@@ -35,6 +38,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return grades.quality_grades(docs, labels)
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -43,6 +55,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
     base = quality_rules.base_failed()
@@ -73,10 +89,33 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_mixing": op2_mixing,
+    "op3_grades": op3_grades,
+    "op4_main_text": op4_main_text,
     "op5_packing": op5_packing,
     "op6_licenses": op6_licenses,
+    "op7_top_k": op7_top_k,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_substrings": op10_substrings,
 }
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op7_top_k": """
+        WITH parts AS (
+            SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
+            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        ), whole AS (
+            SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS q FROM parts
+            WHERE vec_id NOT IN (
+                SELECT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x)
+            )
+        ), scores AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.q * b.q) AS BIGINT) AS score
+            FROM whole a JOIN whole b ON a.i = b.i AND a.vec_id <> b.vec_id
+            WHERE a.vec_id % 50 = 0 GROUP BY ALL
+        ), ranked AS (
+            SELECT query_id, vec_id, score, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scores
+        ) SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
