@@ -1,0 +1,10 @@
+"""Fixtures of these tests, beside the session of the tests above."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from conftest_llm import edge_docs, make_docs, no_docs  # noqa: E402, F401
