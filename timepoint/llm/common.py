@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +18,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
-_CACHED_WORDS = 500_000
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,21 +72,6 @@ def arrow_map(
     return df.mapInArrow(run, kind)
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, remembered for as long as the cache stays within its bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Hashes of the words of a text, A-Z lower-cased, in order."""
-        words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWERED).split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """Bijective 64-bit mixing (the finaliser of splitmix64)."""
     v = values ^ (values >> np.uint64(30))
@@ -96,6 +81,62 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return v ^ (v >> np.uint64(31))
 
 
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """The first ``n`` powers of a number, modulo 2^64."""
+    out = np.full(n, base)
+    out[0] = 1
+    return np.cumprod(out, out=out)
+
+
+class WordHashes:
+    """64-bit hashes of the words of texts, A-Z lower-cased, for many texts at once.
+
+    A word's hash is a polynomial of its bytes, taken from sums over the whole chunk and
+    shifted to a common power, then mixed.
+    """
+
+    _BASE = np.uint64(0xD6E8FEB86659FD93)
+    _INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+
+    def __init__(self) -> None:
+        self._powers = self._inverses = powers(self._BASE, 1)
+
+    def chunk(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All words' hashes in order, and where each text's begin and end."""
+        parts = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
+        data = np.frombuffer(b" " + b" ".join(parts).translate(_LOWERED) + b" ", np.uint8)
+        n = len(data)
+        if len(self._powers) < n + 1:
+            self._powers = powers(self._BASE, 2 * n + 2)
+            self._inverses = powers(self._INVERSE, 2 * n + 2)
+        blank = _BLANK[data]
+        edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        first, last = edges[::2], edges[1::2]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * self._powers[:n], out=sums[1:])
+        # divided by the power of the word's place, as the base is odd and has an inverse
+        hashes = mixed((sums[last] - sums[first]) * self._inverses[first])
+        ends = np.cumsum([len(part) + 1 for part in parts])
+        bounds = np.concatenate(([0], np.searchsorted(first, ends)))
+        return hashes, bounds
+
+    def of(self, text: str | None) -> np.ndarray:
+        """Hashes of the words of one text."""
+        return self.chunk([text])[0]
+
+
+def chunks(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
+    """Neighbouring texts of about ``size`` characters together, with the first one's place."""
+    start = total = 0
+    for at, text in enumerate(texts):
+        total += len(text or "") + 1
+        if total >= size:
+            yield start, texts[start : at + 1]
+            start, total = at + 1, 0
+    if start < len(texts):
+        yield start, texts[start:]
+
+
 def shingle_hashes(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     """Hash of each run of ``width`` words; fewer words make one shingle, none makes none."""
     n = len(words)
@@ -109,5 +150,13 @@ def shingle_hashes(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     return rolled
 
 
-def binary(values: np.ndarray) -> bytes:
-    return values.tobytes()
+def shingled(texts: list[str | None], words: WordHashes) -> Iterator[np.ndarray]:
+    """The shingle hashes of each text in order."""
+    for _, some in chunks(texts):
+        hashes, bounds = words.chunk(some)
+        rolled = shingle_hashes(hashes) if len(hashes) >= SHINGLE else hashes
+        for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if last - first >= SHINGLE:
+                yield rolled[first : last - SHINGLE + 1]
+            else:
+                yield shingle_hashes(hashes[first:last])

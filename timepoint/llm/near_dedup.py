@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timepoint.llm.common import WordHashes, arrow_map, durable, mixed, shingle_hashes
+from timepoint.llm.common import WordHashes, arrow_map, durable, mixed, shingled
 from timepoint.llm.components import components
 
 PERCENT = 85
@@ -85,8 +85,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         words = WordHashes()
         for batch in batches:
             sizes, low, high, keys = [], [], [], []
-            for text in batch["text"]:
-                shingles = np.unique(shingle_hashes(words.of(text)))
+            for shingles in map(np.unique, shingled(batch["text"], words)):
                 sizes.append(len(shingles))
                 both = xxhash.xxh3_128_digest(shingles.tobytes())
                 low.append(int.from_bytes(both[:8], "little", signed=True))
@@ -221,8 +220,8 @@ def _links(docs: DataFrame, meets: DataFrame, percent: int) -> DataFrame:
         words = WordHashes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text, meets in zip(*(batch[c] for c in ("doc", "text", "meets")), strict=True):
-                shingles = np.unique(shingle_hashes(words.of(text)))
+            sets = map(np.unique, shingled(batch["text"], words))
+            for doc, shingles, meets in zip(batch["doc"], sets, batch["meets"], strict=True):
                 if not len(shingles):
                     continue
                 sign = signature(shingles).astype(np.uint8).tobytes()
