@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timepoint.functions.buckets import clip
 from timepoint.functions.timeofday import DAY_NAMES
-from timepoint.operators.reliability import lower_median
+from timepoint.operators.ranking import running_totals
 from timepoint.settings import Settings
-from timepoint.sources.storage import checkpointed
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -31,25 +30,32 @@ def approx_cardinality(df: DataFrame, columns: Sequence[str], rsd: float = 0.05)
     return df.agg(*(F.approx_count_distinct(c, rsd).alias(c) for c in columns))
 
 
-def moments(df: DataFrame, column: str, bounded: bool = True) -> DataFrame:
-    """Mean, lower median, sample sd, population skewness and excess kurtosis.
+def exact_lower_median(df: DataFrame, column: str) -> DataFrame:
+    """One row (median) at any number of distinct values; NULL for no values.
 
-    ``bounded`` says the column has few distinct values (delays), which makes the exact
-    median cheap; otherwise the median comes from a fixed-size sketch whose rank error is
-    one in a million rows.
+    Values are counted, the counts are summed in range-sorted partitions, and the first
+    value whose running count reaches half is the median.
     """
-    median = (
-        lower_median(column)
-        if bounded
-        else F.percentile_approx(column, 0.5, 1_000_000)
+    counts = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("x"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return df.agg(
+    ranked = running_totals(counts, [F.col("x")], ["n"])
+    whole = ranked.agg(F.max("cum_n").alias("n")).select("n").scalar()
+    return ranked.filter(2 * F.col("cum_n") >= whole).agg(F.min("x").alias("median"))
+
+
+def moments(df: DataFrame, column: str) -> DataFrame:
+    """Mean, exact lower median, sample sd, population skewness and excess kurtosis."""
+    rest = df.agg(
         F.mean(column).alias("mean"),
-        median.alias("median"),
         F.stddev_samp(column).alias("std"),
         F.skewness(column).alias("skewness"),
         F.kurtosis(column).alias("kurtosis"),
     )
+    median = exact_lower_median(df, column).scalar().alias("median")
+    return rest.select("mean", median, "std", "skewness", "kurtosis")
 
 
 def describe_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -135,13 +141,17 @@ def histogram(
 ) -> DataFrame:
     """Equal-width counts over the (clipped) data range; the last bin is closed.
 
-    The one projected column is checkpointed, so finding the range and counting do not
-    compute the input twice. Empty bins are kept.
+    Equal values are counted first; range and bins run on the counts. Empty bins are kept.
     """
     value = F.col(column).cast("double")
     if clip_to is not None:
         value = clip(value, *clip_to)
-    values = checkpointed(df.select(value.alias("x")).filter(F.col("x").isNotNull()))
+    values = (
+        df.select(value.alias("x"))
+        .filter(F.col("x").isNotNull())
+        .groupBy("x")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
     ends = values.agg(F.min("x").alias("low"), F.max("x").alias("high"))
     low, high = ends.select("low").scalar(), ends.select("high").scalar()
     ranged = values.withColumns({"low": low, "high": high})
@@ -154,7 +164,7 @@ def histogram(
         }
     )
     slot = F.least(F.floor((F.col("x") - F.col("from")) / F.col("width")), F.lit(bins - 1))
-    counts = ranged.groupBy(slot.alias("bin"), "from", "width").agg(F.count(F.lit(1)).alias("n"))
+    counts = ranged.groupBy(slot.alias("bin"), "from", "width").agg(F.sum("times").alias("n"))
     shape = counts.agg(F.max("from").alias("from"), F.max("width").alias("width"))
     spine = shape.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return (

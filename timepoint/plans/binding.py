@@ -26,7 +26,6 @@ from timepoint.functions.geo import in_bbox
 from timepoint.operators import disruptions, equity, headway, matching, reliability, spatial
 from timepoint.settings import Settings
 from timepoint.sources import gtfs, situations, weather
-from timepoint.sources.storage import checkpointed
 
 STUDY = dataclasses.replace(
     Settings(),
@@ -41,9 +40,16 @@ METRES_PER_DEGREE = 111195
 STUDY_EPOCH = 1_704_067_200  # 2024-01-01T00:00:00Z
 
 
-AREA_WEST = f"{AREA_X0}D + (({{area}}) * 367 % 1000) * {AREA_W}D"
+# A cell of the 1000 x 1000 grid holds one area of every further million, side by side in
+# slices 1/2, 1/6, 1/12, ... of its width, so areas never overlap however many there are.
+AREA_LAYER = "(({area}) div 1000000)"
+AREA_WIDTH = f"{AREA_W}D / (({AREA_LAYER} + 1) * ({AREA_LAYER} + 2))"
+AREA_WEST = (
+    f"{AREA_X0}D + (({{area}}) * 367 % 1000) * {AREA_W}D"
+    f" + {AREA_W}D * {AREA_LAYER} / ({AREA_LAYER} + 1)"
+)
 AREA_SOUTH = f"{AREA_Y0}D + ((({{area}}) * 613 + ({{area}}) div 1000) % 1000) * {AREA_H}D"
-STOP_LON = f"{AREA_WEST} + (({{k}}) * 37 % 113) / 100D * {AREA_W}D"
+STOP_LON = f"{AREA_WEST} + (({{k}}) * 37 % 113) / 100D * ({AREA_WIDTH})"
 STOP_LAT = f"{AREA_SOUTH} + (({{k}}) * 53 % 109) / 100D * {AREA_H}D"
 ROUTE_OF_ORDER = (
     "case when {k} % 3 = 0 then {k} div 150 - ({k} div 150) % 4 else {k} div 150 end"
@@ -213,7 +219,6 @@ class Tables:
         """One JSON document of parallel hourly arrays per day."""
         hourly = (
             self.raw("events")
-            .filter("ts < timestamp_ntz '2024-01-08'")
             .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("at"))
             .agg(F.max("event_id").alias("m"))
         )
@@ -234,17 +239,19 @@ class Tables:
 
     @cached_property
     def areas_raw(self) -> DataFrame:
-        """Square areas as polygon rings, with gaps."""
+        """Rectangular areas as polygon rings; one in seven lies far from its stops."""
         placed = computed_once(
-            self.raw("customer").select("c_custkey").filter("c_custkey % 7 <> 3"),
+            self.raw("customer").select("c_custkey"),
             x=AREA_WEST.format(area="c_custkey"),
-            y=AREA_SOUTH.format(area="c_custkey"),
+            y=AREA_SOUTH.format(area="c_custkey")
+            + " - case when c_custkey % 7 = 3 then 5D else 0D end",
+            width=AREA_WIDTH.format(area="c_custkey"),
         )
 
         def corner(x: str, y: str) -> str:
             return f"named_struct('x', {x}, 'y', {y})"
 
-        east, north = f"x + {AREA_W}D", f"y + {AREA_H}D"
+        east, north = "x + width", f"y + {AREA_H}D"
         corners = (("x", "y"), (east, "y"), (east, north), ("x", north), ("x", "y"))
         ring = ", ".join(corner(*c) for c in corners)
         return placed.selectExpr("'E' || c_custkey as lsoa_code", f"array(array({ring})) as rings")
@@ -255,8 +262,9 @@ class Tables:
 
     @cached_property
     def deprivation(self) -> DataFrame:
-        return self.raw("customer").filter("c_custkey % 17 <> 5").selectExpr(
-            "'E' || c_custkey as lsoa_code",
+        # one in seventeen is filed under a code that no area has
+        return self.raw("customer").selectExpr(
+            "case when c_custkey % 17 = 5 then 'N' else 'E' end || c_custkey as lsoa_code",
             "cast(1 + ((c_custkey div 15) * 3 + (c_custkey % 15) div 5) % 10 as int) as imd_decile",
             "(c_custkey * 13 % 800) / 10D as imd_score",
         )
@@ -275,16 +283,13 @@ class Tables:
         def stop(value: Column) -> Column:
             return tag("AffectedStopPoint", tag("StopPointRef", value))
 
-        first = F.expr("event_id * 4 div 5")
+        first = F.expr("event_id div 5")
         own = F.concat(
             stop(F.concat(F.lit("S"), first)), stop(F.concat(F.lit("S"), first + 11))
         )
         foreign = stop(F.concat(F.lit("X"), "user_id"))
         points = F.when(e % 4 == 0, "").when(e % 4 == 1, foreign).otherwise(own)
-        reason = F.element_at(
-            F.array(*map(F.lit, ("roadworks", "accident", "weather", "event", "security"))),
-            (e % 5 + 1).cast("int"),
-        )
+        reason = F.col("event_type")
         period = F.concat(
             tag("StartTime", F.concat(day.cast("string"), F.lit("T00:00:00Z")), e % 11 != 0),
             tag(
@@ -318,7 +323,6 @@ class Tables:
         )
         return (
             self.raw("events")
-            .filter("event_type = 'error' and ts < timestamp_ntz '2024-01-08'")
             .select(
                 body.alias("element"),
                 F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"),
@@ -362,8 +366,7 @@ class Tables:
 
     @cached_property
     def stop_routes(self) -> DataFrame:
-        # used up to three times in one plan; distinct pairs are far fewer than stop times
-        return checkpointed(disruptions.stop_route_bridge(self.stop_times, self.trips))
+        return disruptions.stop_route_bridge(self.stop_times, self.trips)
 
     @cached_property
     def route_areas(self) -> DataFrame:

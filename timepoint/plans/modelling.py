@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,43 +208,67 @@ def _(t: Tables) -> DataFrame:
 # ------------------------------------------------------------------ MLlib (rows only)
 
 
-def _split(t: Tables) -> tuple[DataFrame, DataFrame]:
-    rows = checkpointed(models.prepared(feature_rows(t)))
-    return rows.filter("is_train = 1"), rows.filter("is_train = 0")
+_searched: dict[tuple[str, str], tuple[list[models.Trained], DataFrame, DataFrame]] = {}
+
 
+def _models(t: Tables) -> tuple[list[models.Trained], DataFrame, DataFrame]:
+    """All candidates searched on the training days, once per session and folder.
 
-def _candidate(name: str) -> models.Candidate:
-    return next(c for c in models.classifiers() if c.name == name)
+    Returns them with the training and the held-out rows.
+    """
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _searched:
+        rows = checkpointed(models.prepared(feature_rows(t)))
+        train, test = rows.filter("is_train = 1"), rows.filter("is_train = 0")
+        _searched[key] = (
+            [models.cross_validate(train, c) for c in models.classifiers()],
+            train,
+            test,
+        )
+    return _searched[key]
 
 
 @query("cross_validate")
 def _(t: Tables) -> DataFrame:
-    train, _ = _split(t)
-    best = models.cross_validate(train, _candidate("logistic_regression"))
-    rows = [(best.name, i, float(auc)) for i, auc in enumerate(best.auc_by_setting)]
+    searched, _, _ = _models(t)
+    rows = [(m.name, i, float(auc)) for m in searched for i, auc in enumerate(m.auc_by_setting)]
     return t.spark.createDataFrame(rows, "model string, setting int, mean_auc double")
 
 
+def _holdout(t: Tables) -> DataFrame:
+    searched, _, test = _models(t)
+    scored = [models.score_holdout(m, test) for m in searched]
+    return reduce(DataFrame.unionByName, scored)
+
+
 @query("score_holdout")
 def _(t: Tables) -> DataFrame:
-    train, test = _split(t)
-    best = models.cross_validate(train, _candidate("logistic_regression"))
-    return evaluation.model_comparison(models.score_holdout(best, test))
+    return evaluation.model_comparison(_holdout(t))
+
+
+@query("f1_per_second")
+def _(t: Tables) -> DataFrame:
+    searched, _, _ = _models(t)
+    return evaluation.f1_per_second(
+        evaluation.model_comparison(_holdout(t)), models.train_times(t.spark, searched)
+    ).select("model", "train_seconds", "f1", "f1_per_sec")
+
+
+@query("feature_names")
+def _(t: Tables) -> DataFrame:
+    searched, train, _ = _models(t)
+    names = models.feature_names(searched[-1].model.transform(train))
+    return t.spark.createDataFrame(list(enumerate(names)), "slot int, feature string")
 
 
 @query("lr_coefficients")
 def _(t: Tables) -> DataFrame:
-    train, _ = _split(t)
-    return models.lr_coefficients(
-        models.cross_validate(train, _candidate("logistic_regression")), train
-    )
+    searched, train, _ = _models(t)
+    return models.lr_coefficients(searched[0], train)
 
 
 @query("tree_importances")
 def _(t: Tables) -> DataFrame:
-    train, _ = _split(t)
-    candidate = _candidate("random_forest")
-    fitted = candidate.pipeline().fit(train)
-    return models.top_features(
-        models.tree_importances(models.Trained(candidate.name, fitted, (), 0.0), train)
-    )
+    searched, train, _ = _models(t)
+    ranked = [models.top_features(models.tree_importances(m, train)) for m in searched[1:]]
+    return reduce(DataFrame.unionByName, ranked)

@@ -12,8 +12,17 @@ import re
 ON_TIME = "between -2e0 and 2e0"
 
 
+def _area_width(area: str) -> str:
+    layer = f"({area} // 1000000)"
+    return f"(0.00105e0 / (({layer} + 1) * ({layer} + 2)))"
+
+
 def _area_west(area: str) -> str:
-    return f"(-2.2507e0 + (({area} * 367) % 1000) * 0.00105e0)"
+    layer = f"({area} // 1000000)"
+    return (
+        f"(-2.2507e0 + (({area} * 367) % 1000) * 0.00105e0"
+        f" + 0.00105e0 * {layer} / ({layer} + 1))"
+    )
 
 
 def _area_south(area: str) -> str:
@@ -21,7 +30,10 @@ def _area_south(area: str) -> str:
 
 
 def _stop_lon(k: str) -> str:
-    return f"({_area_west(f'({k} * 3 // 4)')} + (({k} * 37) % 113) / 100e0 * 0.00105e0)"
+    return (
+        f"({_area_west(f'({k} * 3 // 4)')} + (({k} * 37) % 113) / 100e0"
+        f" * {_area_width(f'({k} * 3 // 4)')})"
+    )
 
 
 def _stop_lat(k: str) -> str:
@@ -147,26 +159,27 @@ TABLES = {
                (m * 11) % 120 / 10e0 as temp_c, (m * 5) % 300 / 10e0 as wind_kph,
                cast(h as date) as service_date, cast(hour(h) as int) as hour
         from (select date_trunc('hour', ts) as h, max(event_id) as m from events
-              where ts < timestamp '2024-01-08' group by 1)""",
+              group by 1)""",
     "areas_raw": f"""
         select 'E' || c_custkey as lsoa_code, {_area_west('c_custkey')} as west,
-               {_area_south('c_custkey')} as south
-        from customer where c_custkey % 7 <> 3""",
+               {_area_width('c_custkey')} as width,
+               {_area_south('c_custkey')}
+                   - case when c_custkey % 7 = 3 then 5e0 else 0e0 end as south
+        from customer""",
     "areas": """
-        select lsoa_code, west, west + 0.00105e0 as east, south, south + 0.000467e0 as north
+        select lsoa_code, west, west + width as east, south, south + 0.000467e0 as north
         from areas_raw
-        where west <= -1.2e0 and west + 0.00105e0 >= -2.2e0
+        where west <= -1.2e0 and west + width >= -2.2e0
           and south <= 53.98e0 and south + 0.000467e0 >= 53.55e0""",
     "deprivation": """
-        select 'E' || c_custkey as lsoa_code,
+        select case when c_custkey % 17 = 5 then 'N' else 'E' end || c_custkey as lsoa_code,
                cast(1 + ((c_custkey // 15) * 3 + (c_custkey % 15) // 5) % 10 as int) as imd_decile,
                (c_custkey * 13) % 800 / 10e0 as imd_score
-        from customer where c_custkey % 17 <> 5""",
+        from customer""",
     "situations_decoded": """
         select 'SIT' || (event_id // 12) as situation_id, 'P' || (user_id % 7) as participant,
                case when event_id % 3 = 0 then 'closed' else 'open' end as progress,
-               case event_id % 5 when 0 then 'roadworks' when 1 then 'accident'
-                    when 2 then 'weather' when 3 then 'event' else 'security' end as reason,
+               event_type as reason,
                event_id % 2 = 0 as planned, 'Notice ' || event_id as summary,
                case when event_id % 11 <> 0
                     then strftime(ts, '%Y-%m-%d') || 'T00:00:00Z' end as validity_start,
@@ -176,11 +189,11 @@ TABLES = {
                case when event_id % 4 = 0 then 0 when event_id % 4 = 1 then 1 else 2 end
                    as n_named,
                case when event_id % 4 = 0 then '' when event_id % 4 = 1 then 'X' || user_id
-                    else 'S' || (event_id * 4 // 5) || ',S' || (event_id * 4 // 5 + 11) end
+                    else 'S' || (event_id // 5) || ',S' || (event_id // 5 + 11) end
                    as stop_refs,
                'L' || (event_id % 13) as line_refs, 'OP' || (event_id % 7) as operator_refs,
                strftime(ts, '%Y-%m-%dT%H:%M:%S') as fetched_at, event_id as snapshot_id
-        from events where event_type = 'error' and ts < timestamp '2024-01-08'""",
+        from events""",
     "situation_snapshots": """
         select situation_id, participant, progress, reason, planned, summary, validity_start,
                validity_end, n_named as n_affected_stops, stop_refs as wy_stop_refs, line_refs,

@@ -59,19 +59,22 @@ def _(t: Tables) -> DataFrame:
     return reports.busiest_routes(warehouse.fact_trip(t.trip_facts), t.routes)
 
 
-_NULLS = ("vehicle_id", "trip_id", "route_id", "bearing", "ts")
+# every column of positions, and the column of the SQL table that has its NULLs
+_NULLS = {
+    c: c for c in "vehicle_id trip_id route_id lat lon bearing ts service_date".split()
+} | {"ts_utc": "ts"}
 
 
 @query(
     "null_profile",
     " union all ".join(
-        f"""select '{c}' as "column", count(*) - count({c}) as nulls, count(*) as total
+        f"""select '{c}' as "column", count(*) - count({own}) as nulls, count(*) as total
             from positions"""
-        for c in _NULLS
+        for c, own in _NULLS.items()
     ),
 )
 def _(t: Tables) -> DataFrame:
-    return profile.null_profile(t.positions, _NULLS)
+    return profile.null_profile(t.positions)
 
 
 @query("approx_cardinality")
@@ -101,7 +104,7 @@ def _(t: Tables) -> DataFrame:
     "mean median std skewness kurtosis",
 )
 def _(t: Tables) -> DataFrame:
-    return profile.moments(t.sched_headways, "sched_headway_mean_min", bounded=False)
+    return profile.moments(t.sched_headways, "sched_headway_mean_min")
 
 
 @query(

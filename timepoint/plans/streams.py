@@ -9,7 +9,7 @@ from timepoint.plans.binding import Tables
 from timepoint.plans.oracle import IN_BOX
 from timepoint.plans.registry import query
 from timepoint.streaming import positions
-from timepoint.streaming.situations import stream_situations
+from timepoint.streaming.situations import generation, latest_generation, stream_situations
 
 
 def _stream(t: Tables) -> DataFrame:
@@ -80,13 +80,14 @@ def _(t: Tables) -> DataFrame:
     counters = positions.daily_counters(_repeated_stream(t), t.settings.box)
     sink = positions.new_folder(t.spark, "counters")
 
-    def replace(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(sink)
+    # a generation per batch: a repeated batch replaces its own, and never the one being read
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(generation(sink, batch))
 
     positions.run_batches(
-        counters, replace, positions.new_folder(t.spark, "progress"), mode="complete"
+        counters, keep, positions.new_folder(t.spark, "progress"), mode="complete"
     )
-    return t.spark.read.parquet(sink)
+    return latest_generation(t.spark, sink)
 
 
 @query(
@@ -95,14 +96,14 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     landed = positions.new_folder(t.spark, "landed")
-    # three fetches, each its own file set, consumed one file per micro-batch
+    # three fetches, each its own set of files, consumed a set per micro-batch
+    files = t.spark.sparkContext.defaultParallelism
     for third in range(3):
-        t.situation_snapshots.filter(F.col("snapshot_id") % 3 == third).coalesce(1).write.mode(
-            "append"
-        ).parquet(landed)
+        fetched = t.situation_snapshots.filter(F.col("snapshot_id") % 3 == third)
+        fetched.repartition(files).write.mode("append").parquet(landed)
     snapshots = (
         t.spark.readStream.schema(t.situation_snapshots.schema)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", files)
         .parquet(landed)
     )
     return stream_situations(

@@ -35,17 +35,30 @@ def stream_snapshots(spark: SparkSession, path: str, glob: str = "*.pb") -> Data
     return decoded_pings(decode_position_snapshots(files))
 
 
-def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A landed Parquet table as a stream of its files."""
+def stream_table(
+    spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """A landed Parquet table as a stream of its files, all at once or so many a batch."""
     pattern = f"{name}.parquet"
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def stream_dedup_pings(pings: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Each (vehicle, report time) once; state is dropped after ``lateness``."""
-    return pings.withWatermark("ts_utc", lateness).dropDuplicatesWithinWatermark(
-        ["vehicle_id", "ts"]
+    """Each (vehicle, report time) once, however old the report is.
+
+    The watermark runs on the time a report landed in a micro-batch, which only rises, so no
+    report is ever late; its state is dropped ``lateness`` after it was first seen, by when
+    the polls no longer repeat it.
+    """
+    return (
+        pings.withColumn("_landed", F.current_timestamp())
+        .withWatermark("_landed", lateness)
+        .dropDuplicatesWithinWatermark(["vehicle_id", "ts"])
+        .drop("_landed")
     )
 
 
