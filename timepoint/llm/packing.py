@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,6 +77,7 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
+        self._model = self._tokenizer.model
         settings = json.loads(self._tokenizer.to_str())
         splits = (settings["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         first = splits[0]
@@ -86,6 +88,7 @@ class WordIds:
             and self._encode(" ") == b""
             and self._encode("a b\nc") == self._encode("a") + self._encode("b") + self._encode("c")
             and self._encode("Ab") == self._encode("ab")
+            and all(self._encode(x) == self._merged(x) for x in ("letters", "éñß", "日本語", "ωმ"))
             and self._encode("ab#,.") == self._encode("ab") + self._encode("#,.")
             and not any(
                 x["single_word"] or x["lstrip"] or x["rstrip"] or " " in x["content"]
@@ -94,6 +97,10 @@ class WordIds:
         )
         self._known: dict[str, bytes] = {"": b""}
 
+    def _merged(self, letters: str) -> bytes:
+        units = letters.encode().decode("latin-1").translate(_BYTE_UNITS)
+        return array("I", [token.id for token in self._model.tokenize(units)]).tobytes()
+
     def _encode(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
@@ -111,8 +118,15 @@ class WordIds:
         plain = list(
             new.difference(tails).union(x for pair in tails.values() for x in pair).difference(known)
         )
-        for at in range(0, len(plain), 1000):
-            some = plain[at : at + 1000]
+        rest = []
+        for part in plain:
+            # lower-case letters are one pre-token, as they are: straight to the merges
+            if part.isalpha() and part == part.lower() and unicodedata.is_normalized("NFC", part):
+                known[part] = self._merged(part)
+            else:
+                rest.append(part)
+        for at in range(0, len(rest), 1000):
+            some = rest[at : at + 1000]
             found = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
             known.update(
                 zip(some, (np.array(x.ids, "<u4").tobytes() for x in found), strict=True)
@@ -129,6 +143,12 @@ def _lowered(text: str) -> str:
     return text.lower() if plain and "<|" not in text else text
 
 
+#: Fixed by byte-level tokenizers: printable Latin-1 bytes stand for themselves, the others are
+#: numbered from 256 on.
+_BYTE_UNITS = {
+    byte: 256 + number
+    for number, byte in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])
+}
 #: Characters whose lower case depends on their place or is more than one.
 _ODD = re.compile("[\u03a3\u0130]")
 #: Letters and then ASCII punctuation other than apostrophes and the start of special strings.

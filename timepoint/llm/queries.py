@@ -98,7 +98,90 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_substrings": op10_substrings,
 }
+#: The word separators of ``common.WORD`` in SQL text.
+_BLANKS = r"\x20\x09-\x0D"
+
+
+def _op8_sql() -> str:
+    bits = " + ".join(
+        f"CASE WHEN {failed} THEN {1 << bit} ELSE 0 END"
+        for bit, failed in enumerate(quality_rules.RULES.values())
+    )
+    base, whole = (
+        quality_rules.mask_of(quality_rules.POLICIES[p]) for p in ("base", quality_rules.CURRENT)
+    )
+    return rf"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
+        ), split AS (
+            SELECT row_no, doc_id, text, regexp_extract_all(text, '[^{_BLANKS}]+') AS words,
+                   list_filter(string_split(text, chr(10)),
+                               lambda l: regexp_matches(l, '[^{_BLANKS}]')) AS lines
+            FROM texts
+        ), placed AS (
+            SELECT row_no, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split
+        ), triples AS (
+            SELECT row_no, i, word, lead(word, 1) OVER w AS word2, lead(word, 2) OVER w AS word3
+            FROM placed WINDOW w AS (PARTITION BY row_no ORDER BY i)
+        ), again AS (
+            SELECT row_no, i, count(*) OVER (PARTITION BY row_no, word, word2, word3) AS n
+            FROM triples WHERE word3 IS NOT NULL
+        ), covered AS (
+            SELECT row_no, count(DISTINCT i + k) AS n_repeat_words
+            FROM again, (VALUES (0), (1), (2)) AS v(k) WHERE n > 1 GROUP BY row_no
+        ), tops AS (
+            SELECT row_no, max(n) AS top_word
+            FROM (SELECT row_no, word, count(*) AS n FROM placed GROUP BY ALL) GROUP BY row_no
+        ), measures AS (
+            SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+                   CAST(length(regexp_replace(text, '[{_BLANKS}]', '', 'g')) AS BIGINT) AS word_chars,
+                   CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+                   len(lines) AS n_lines, coalesce(top_word, 0) AS top_word,
+                   length(regexp_replace(text, '\P{{Lu}}', '', 'g')) AS n_upper,
+                   length(regexp_replace(text, '\P{{L}}', '', 'g')) AS n_letters,
+                   len(list_filter(words, lambda x: x LIKE '%!!')) AS n_exclaimed
+            FROM split LEFT JOIN covered USING (row_no) LEFT JOIN tops USING (row_no)
+        ), judged AS (SELECT *, CAST({bits} AS BIGINT) AS failed FROM measures)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               failed & {base} <> 0 AS base_failed, failed & {whole} = 0 AS kept, failed
+        FROM judged
+    """
+
+
+_OP1_SQL = rf"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^{_BLANKS}]+') AS words
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN words
+                                     ELSE list_slice(words, i, i + 4) END AS shingle
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i
+              FROM split WHERE len(words) > 0)
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    pairs AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_common
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY ALL
+    ), links AS (
+        SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+        WHERE 100 * n_common >= 85 * (x.n + y.n - n_common)
+    ), reached(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION
+        SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+    ), lowest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+    SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+           d.doc_id = component_id AS kept
+    FROM documents d JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
 CHECKS: dict[str, str] = {
+    "op1_near_duplicates": _OP1_SQL,
+    "op8_quality_rules": _op8_sql(),
     "op7_top_k": """
         WITH parts AS (
             SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
