@@ -113,7 +113,7 @@ def cross_validate(train: DataFrame, candidate: Candidate, folds: int = 3) -> Tr
         estimatorParamMaps=candidate.param_maps(),
         evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
         numFolds=folds,
-        parallelism=2,
+        parallelism=4,
         seed=SEED,
     )
     started = time.monotonic()
