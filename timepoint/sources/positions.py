@@ -94,13 +94,15 @@ def _decode(content: bytes) -> list[tuple]:
 
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from google.protobuf.message import DecodeError
+
     columns = ["vehicle_id", "trip_id", "route_id", "lat", "lon", "bearing", "ts"]
     for batch in batches:
         # one output frame per snapshot keeps memory at a single snapshot's size
         for source, content in zip(batch["source"], batch["content"]):
             try:
                 rows, status = _decode(bytes(content)), "ok"
-            except Exception:  # any undecodable content quarantines its own file only
+            except (DecodeError, UnicodeDecodeError):  # quarantines its own file only
                 rows, status = [], "corrupt"
             frame = pd.DataFrame(rows or [(None,) * len(columns)], columns=columns)
             if not rows and status == "ok":
