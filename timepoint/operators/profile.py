@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timepoint.functions.buckets import clip
@@ -196,39 +196,33 @@ def class_balance(rows: DataFrame, label: str = "compliant") -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations in long form, one pass over the rows.
 
-    Each row lists its column pairs and is folded into one running correlation per pair
-    inside its task, so only one record per pair and task is shuffled. A constant column
-    has no correlation (NULL).
+    Every pair is one running correlation of a single aggregate, so a task hands on one row;
+    that row is then listed. A constant column has no correlation (NULL).
     """
     names = list(columns)
-    listed = F.array(
-        *(
-            F.struct(
-                F.lit(a).alias("a"),
-                F.lit(b).alias("b"),
-                F.col(a).cast("double").alias("x"),
-                F.col(b).cast("double").alias("y"),
-            )
-            for i, a in enumerate(names)
-            for b in names[i:]
+    values = df.select(*(F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)))
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+
+    def pearson(i: int, j: int) -> Column:
+        a, b = F.col(f"c{i}"), F.col(f"c{j}")
+        x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+        # a constant column leaves only rounding noise in its variance
+        varies = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
+        if i == j:
+            return F.when(F.max(a) > F.min(a), F.lit(1.0))
+        return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+
+    one = values.agg(*(pearson(i, j).alias(f"r{i}_{j}") for i, j in pairs))
+    listed = [
+        F.struct(
+            F.lit(names[a]).alias("a"),
+            F.lit(names[b]).alias("b"),
+            F.col(f"r{i}_{j}").alias("correlation"),
         )
-    )
-    complete = df.select(F.inline(listed)).select(
-        "a",
-        "b",
-        F.when(F.col("y").isNotNull(), F.col("x")).alias("x"),
-        F.when(F.col("x").isNotNull(), F.col("y")).alias("y"),
-    )
-    # a constant column leaves only rounding noise in its variance
-    varies = (F.max("x") > F.min("x")) & (F.max("y") > F.min("y"))
-    pearson = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
-    upper = complete.groupBy("a", "b").agg(F.when(varies, pearson).alias("correlation"))
-    both = F.array(
-        F.struct(F.col("a"), F.col("b"), F.col("correlation")),
-        F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("correlation")),
-    )
-    mirrored = F.when(F.col("a") == F.col("b"), F.slice(both, 1, 1)).otherwise(both)
-    return upper.select(F.inline(mirrored))
+        for i, j in pairs
+        for a, b in dict.fromkeys([(i, j), (j, i)])
+    ]
+    return one.select(F.inline(F.array(*listed)))
 
 
 def box_stats(

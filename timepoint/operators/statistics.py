@@ -130,10 +130,8 @@ def permutation_pvalue(
         F.sum(ry * ry).alias("syy"),
     )
 
-    # one observed row meets every replicate: the equi-join key is a constant
-    both = products.withColumn("one", F.lit(1)).join(
-        F.broadcast(observed.withColumn("one", F.lit(1))), "one"
-    )
+    whole = observed.select(F.struct("n", "oxy", "sxx", "syy")).scalar()
+    both = products.select("sxy", whole.alias("whole")).select("sxy", "whole.*")
     n, sxx, syy = F.col("n"), F.col("sxx"), F.col("syy")
     rho = _rank_correlation(n, F.col("oxy"), sxx, syy)
     drawn_rho = _rank_correlation(n, F.col("sxy"), sxx, syy)
