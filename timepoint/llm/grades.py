@@ -26,9 +26,9 @@ from timepoint.llm.common import WORD, arrow_map, durable
 
 SAMPLE, BITS, STEPS, RATE, LEAST, PREFIX = 8000, 18, 200, 0.3, 8, 4
 #: Penalty with which buckets are chosen, and with which the chosen ones are fitted again.
-LASSO = (3e-3, 1e-4)
+LASSO = (1.5e-3, 3e-4)
 GRADES = 3
-SELECT = 0.3
+SELECT = 0.45
 _SIZE = 1 << BITS
 _WORDS = re.compile(WORD)
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
