@@ -125,6 +125,11 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+def _named(t: Tables) -> DataFrame:
+    """Reports with the name of the poll that landed them: date and minute."""
+    return t.pings_all.withColumn("source", F.expr("service_date || '/' || (ts div 60)"))
+
+
 @query(
     "decode_position_snapshots",
     """select vehicle_id, ts, trip_id, route_id, cast(cast(lat as float) as double) as lat,
@@ -133,30 +138,39 @@ def _(t: Tables) -> DataFrame:
     "lat lon bearing",
 )
 def _(t: Tables) -> DataFrame:
-    decoded = positions.decode_position_snapshots(positions.encode_snapshots(t.pings_all))
+    decoded = positions.decode_position_snapshots(positions.encode_snapshots(_named(t)))
     return positions.decoded_pings(decoded).drop("source", "ts_utc")
 
 
 def _damaged(t: Tables) -> DataFrame:
-    """Encoded snapshots plus a cut-off copy of each one from a vehicle ending in 3."""
-    whole = positions.encode_snapshots(t.pings_all, per_snapshot=50)
-    cut = whole.filter("split(source, '-')[0] like '%3'").select(
+    """Encoded snapshots plus a cut-off copy of those whose number ends in 3."""
+    whole = positions.encode_snapshots(_named(t))
+    cut = whole.filter("source like '%3'").select(
         F.concat("source", F.lit("-cut")).alias("source"),
         F.expr("substring(content, 1, length(content) - 3)").alias("content"),
     )
     return whole.unionByName(cut)
 
 
-@query("snapshot_quarantine")
+_POLLS = "select distinct service_date || '/' || (ts // 60) as source from pings_all"
+
+
+@query(
+    "snapshot_quarantine",
+    f"select source || '-cut' as source, 'corrupt' as status from ({_POLLS}) where source like '%3'",
+)
 def _(t: Tables) -> DataFrame:
     return positions.snapshot_quarantine(positions.decode_position_snapshots(_damaged(t)))
 
 
-@query("count_raw_positions", "select count(*) as vehicle_positions from pings_all")
+@query(
+    "count_raw_positions",
+    f"""select count(*) + count(*) filter (source like '%3') as snapshots,
+               (select count(*) from pings_all) as vehicle_positions
+        from ({_POLLS})""",
+)
 def _(t: Tables) -> DataFrame:
-    decoded = positions.decode_position_snapshots(_damaged(t))
-    # snapshot boundaries follow Spark's tasks, so only the vehicles are comparable
-    return positions.count_raw_positions(decoded).select("vehicle_positions")
+    return positions.count_raw_positions(positions.decode_position_snapshots(_damaged(t)))
 
 
 @query(

@@ -214,10 +214,15 @@ def _(t: Tables) -> DataFrame:
     return profile.histogram(t.sched_headways, "sched_headway_mean_min", 48, (0.0, 120.0))
 
 
-@query("histogram_match_distance")
+@query(
+    "histogram_match_distance",
+    _histogram_sql("round(dist_m * 1000e0)", "delays", 50),
+    "bin_low bin_high",
+)
 def _(t: Tables) -> DataFrame:
-    # distances of 0 m, 1 m, ... fall on bin edges that engines may round either way
-    return profile.histogram(t.delays, "dist_m", 50)
+    # whole millimetres: distances of 0 m, 1 m, ... fall on bin edges
+    millimetres = t.delays.withColumn("dist_mm", F.round(F.col("dist_m") * 1000))
+    return profile.histogram(millimetres, "dist_mm", 50)
 
 
 @query(

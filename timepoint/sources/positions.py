@@ -96,21 +96,24 @@ def _decode(content: bytes) -> list[tuple]:
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from google.protobuf.message import DecodeError
 
-    columns = ["vehicle_id", "trip_id", "route_id", "lat", "lon", "bearing", "ts"]
+    columns = ["source", "status", "vehicle_id", "trip_id", "route_id", "lat", "lon", "bearing", "ts"]
+    numbers = {"lat": "float64", "lon": "float64", "bearing": "float64", "ts": "Int64"}
+    nothing = (None,) * (len(columns) - 2)
     for batch in batches:
-        # one output frame per snapshot keeps memory at a single snapshot's size
+        pending: list[tuple] = []
         for source, content in zip(batch["source"], batch["content"]):
             try:
                 rows, status = _decode(bytes(content)), "ok"
             except (DecodeError, UnicodeDecodeError):  # quarantines its own file only
                 rows, status = [], "corrupt"
-            frame = pd.DataFrame(rows or [(None,) * len(columns)], columns=columns)
             if not rows and status == "ok":
                 status = "empty"
-            frame = frame.astype({"lat": "float64", "lon": "float64", "bearing": "float64", "ts": "Int64"})
-            frame.insert(0, "status", status)
-            frame.insert(0, "source", source)
-            yield frame
+            pending += [(source, status, *row) for row in rows or [nothing]]
+            if len(pending) >= 5000:  # many small snapshots share a frame, large ones have theirs
+                yield pd.DataFrame(pending, columns=columns).astype(numbers)
+                pending = []
+        if pending:
+            yield pd.DataFrame(pending, columns=columns).astype(numbers)
 
 
 def read_snapshots(spark: SparkSession, path: str, glob: str = "*.pb") -> DataFrame:
@@ -230,36 +233,44 @@ def count_raw_positions(decoded: DataFrame) -> DataFrame:
     )
 
 
-def encode_snapshots(pings: DataFrame, per_snapshot: int = 500) -> DataFrame:
+def encode_snapshots(pings: DataFrame) -> DataFrame:
     """Pings packed into feed messages, (source, content); the decoder's counterpart.
 
-    Messages are cut from the rows of each task, so no grouping of rows is needed.
+    Every row names its snapshot in ``source``; a snapshot is one poll's reports, so it is
+    small whatever the table's size. The names do not depend on how rows fall into tasks.
     """
+    fields = ["source", "vehicle_id", "trip_id", "route_id", "lat", "lon", "bearing", "ts"]
+
+    def message_of(rows: list[tuple]) -> bytes:
+        feed = feed_message_class()()
+        feed.header.gtfs_realtime_version = "2.0"
+        feed.header.timestamp = int(max(row[7] for row in rows))
+        for _, vehicle_id, trip_id, route_id, lat, lon, bearing, ts in rows:
+            vehicle = feed.entity.add(id=vehicle_id).vehicle
+            vehicle.vehicle.id = vehicle_id
+            vehicle.timestamp = int(ts)
+            vehicle.position.latitude, vehicle.position.longitude = lat, lon
+            if bearing is not None:
+                vehicle.position.bearing = bearing
+            if trip_id is not None:
+                vehicle.trip.trip_id = trip_id
+            if route_id is not None:
+                vehicle.trip.route_id = route_id
+        return feed.SerializeToString()
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        message = feed_message_class()
+        rows: list[tuple] = []
         for batch in batches:
+            packed: list[tuple[str, bytes]] = []
             batch = batch.astype(object).where(batch.notna(), None)
-            for start in range(0, len(batch), per_snapshot):
-                rows = batch.iloc[start : start + per_snapshot]
-                feed = message()
-                feed.header.gtfs_realtime_version = "2.0"
-                feed.header.timestamp = int(rows["ts"].max())
-                for row in rows.itertuples(index=False):
-                    entity = feed.entity.add(id=row.vehicle_id)
-                    vehicle = entity.vehicle
-                    vehicle.vehicle.id = row.vehicle_id
-                    vehicle.timestamp = int(row.ts)
-                    vehicle.position.latitude, vehicle.position.longitude = row.lat, row.lon
-                    if row.bearing is not None:
-                        vehicle.position.bearing = row.bearing
-                    if row.trip_id is not None:
-                        vehicle.trip.trip_id = row.trip_id
-                    if row.route_id is not None:
-                        vehicle.trip.route_id = row.route_id
-                first = rows.iloc[0]
-                name = f"{first['vehicle_id']}-{first['ts']}-{first['trip_id']}-{first['lat']}"
-                yield pd.DataFrame({"source": [name], "content": [feed.SerializeToString()]})
-
-    fields = ["vehicle_id", "trip_id", "route_id", "lat", "lon", "bearing", "ts"]
-    return pings.select(*fields).mapInPandas(pack, "source string, content binary")
+            for row in batch.itertuples(index=False, name=None):
+                if rows and rows[0][0] != row[0]:
+                    packed.append((rows[0][0], message_of(rows)))
+                    rows = []
+                rows.append(row)
+            yield pd.DataFrame(packed, columns=["source", "content"])
+        if rows:
+            yield pd.DataFrame({"source": [rows[0][0]], "content": [message_of(rows)]})
+
+    together = pings.select(*fields).repartition("source").sortWithinPartitions("source")
+    return together.mapInPandas(pack, "source string, content binary")
