@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest_llm import edge_texts, linked_components, shingles, story, words
+from llm_fixtures import edge_docs, edge_texts, linked_components, make_docs, no_docs, shingles, story, words  # noqa: F401
 
 from timepoint.llm import near_dedup, substring_dedup
 from timepoint.llm.components import components

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest_llm import CLASHING, UPPER, edge_texts, story, words
+from llm_fixtures import CLASHING, UPPER, edge_docs, edge_texts, make_docs, no_docs, story, words  # noqa: F401
 
 from timepoint.llm import grades, licenses, packing, quality_rules, token_counts
 from timepoint.llm.queries import tokenizer

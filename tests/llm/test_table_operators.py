@@ -7,7 +7,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
-from conftest_llm import linked_components, story, words
+from llm_fixtures import edge_docs, linked_components, make_docs, no_docs, story, words  # noqa: F401
 
 import corpus_pipeline
 from timepoint.llm import mixing, quality_rules, topk, wrappers
