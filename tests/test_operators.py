@@ -116,13 +116,19 @@ def shapes(spark):
     )
 
 
+def every_stop_against_every_area(stops, areas):
+    shaped = areas.select("lsoa_code", spatial.polygon_edges(F.col("rings")).alias("edges"))
+    inside = spatial.strictly_inside(F.col("stop_lon"), F.col("stop_lat"), F.col("edges"))
+    return stops.join(shaped, inside, "left").select("stop_id", "lsoa_code")
+
+
 def test_spatial_join_equals_brute_force(spark):
     rng = random.Random(1)
     points = [(f"p{i}", rng.uniform(-1, 5), rng.uniform(-1, 10)) for i in range(400)]
     points += [("corner", 0.0, 0.0), ("edge", 0.0, 2.0), ("notch", 1.0, 2.0), ("hole", 2.0, 7.0), ("in", 0.5, 0.5)]
     stops = spark.createDataFrame(points, "stop_id string, stop_lat double, stop_lon double")
     fast = spatial.point_in_polygon(stops, shapes(spark))
-    slow = spatial.point_in_polygon_bruteforce(stops, shapes(spark))
+    slow = every_stop_against_every_area(stops, shapes(spark))
     assert as_set(fast.select("stop_id", "lsoa_code")) == as_set(slow)
     found = {}
     for stop, area in rows(fast):

@@ -13,6 +13,7 @@ from timepoint.functions.timeofday import is_weekend, time_band
 from timepoint.operators.reliability import in_some_band
 from timepoint.settings import Settings
 
+# The published label, model inputs and the outcome's own parts.
 LABEL = "compliant"
 CATEGORICAL = ("day_of_week", "time_band")
 NUMERIC = (

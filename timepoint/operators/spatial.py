@@ -40,7 +40,7 @@ def polygons_in_bbox(areas: DataFrame, box: Box) -> DataFrame:
     return with_extent(areas).filter(overlap).select(*areas.columns)
 
 
-def _edges(rings: Column) -> Column:
+def polygon_edges(rings: Column) -> Column:
     """All ring edges as ``struct(ax, ay, bx, by)``."""
     return F.flatten(
         F.transform(
@@ -114,7 +114,7 @@ def point_in_polygon(stops: DataFrame, areas: DataFrame) -> DataFrame:
             "south",
             "north",
             "width",
-            _edges(F.col("rings")).alias("edges"),
+            polygon_edges(F.col("rings")).alias("edges"),
             F.explode(
                 F.sequence(_cell(F.col("west"), F.col("width")), _cell(F.col("east"), F.col("width")))
             ).alias("cell_x"),
@@ -144,10 +144,3 @@ def point_in_polygon(stops: DataFrame, areas: DataFrame) -> DataFrame:
         .select("stop_id", "lsoa_code")
     )
     return stops.select("stop_id").join(hits, "stop_id", "left")
-
-
-def point_in_polygon_bruteforce(stops: DataFrame, areas: DataFrame) -> DataFrame:
-    """Every stop against every area; only for checking small fixtures."""
-    shaped = areas.select("lsoa_code", _edges(F.col("rings")).alias("edges"))
-    inside = strictly_inside(F.col("stop_lon"), F.col("stop_lat"), F.col("edges"))
-    return stops.join(shaped, inside, "left").select("stop_id", "lsoa_code")
