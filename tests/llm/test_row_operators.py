@@ -191,7 +191,7 @@ def test_word_ids_equal_the_library():
 
     plain = Tokenizer.from_file(tokenizer(WORD_FILE))
     texts = odd_texts() + [t or "" for t in edge_texts()]
-    own = packing.word_ids(tokenizer(WORD_FILE))
+    own = packing.WordIds(tokenizer(WORD_FILE))
     assert own._cut
     for text, ids in zip(texts, own.of(texts), strict=True):
         expected = plain.encode(text, add_special_tokens=False).ids

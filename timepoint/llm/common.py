@@ -18,6 +18,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
+#: Rows that are Python objects at a time, of an Arrow batch that may hold many more.
+_ROWS = 1000
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -44,6 +46,12 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def few_at_a_time(column: pa.Array) -> Iterator:
+    """The values of an Arrow column; few of them are Python objects at a time."""
+    for at in range(0, len(column), _ROWS):
+        yield from column.slice(at, _ROWS).to_pylist()
+
+
 def arrow_map(
     df: DataFrame,
     schema: str | T.StructType,
@@ -59,8 +67,9 @@ def arrow_map(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = (
-            {name: batch.column(k).to_pylist() for k, name in enumerate(batch.schema.names)}
+            {name: part.column(k).to_pylist() for k, name in enumerate(part.schema.names)}
             for batch in batches
+            for part in (batch.slice(at, _ROWS) for at in range(0, batch.num_rows, _ROWS))
         )
         for out in work(lists):
             columns = [

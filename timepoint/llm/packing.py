@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from timepoint.llm.common import arrow_map
 
 SEQUENCE, OPEN, END = 2048, 1024, 0
-_REMEMBERED = 1_000_000
+_REMEMBERED = 250_000
 
 
 class BestFit:
@@ -155,15 +155,6 @@ _ODD = re.compile("[\u03a3\u0130]")
 _TAIL = re.compile(r"([^!-/:-@\[-`{-~]+)([!-&(-/:;=-@\[-`{-~]+)")
 
 
-_TOKENIZERS: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordIds(path)
-    return _TOKENIZERS[path]
-
-
 def pack(
     docs: DataFrame, path: str, size: int = SEQUENCE, most_open: int = OPEN, end: int = END
 ) -> DataFrame:
@@ -176,7 +167,7 @@ def pack(
     """
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        tokens = word_ids(path)
+        tokens = WordIds(path)  # of the task: what it remembers goes with it
         base = TaskContext.get().partitionId() << 40
         bins = BestFit(size, most_open)
         last = end.to_bytes(4, "little")

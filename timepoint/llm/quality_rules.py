@@ -11,10 +11,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timepoint.llm.common import few_at_a_time
+
 #: Fixed by the contract.
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 MIN_WORDS, REPEAT_PERCENT = 50, 50
@@ -103,9 +105,13 @@ def measure(text: str | None) -> tuple[int, ...]:
 def _measured(text: Column) -> Column:
     """The measurements of each text as one struct."""
 
-    @F.pandas_udf(", ".join(f"{m} long" for m in MEASURES))
-    def measured(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([measure(t) for t in texts], columns=list(MEASURES), dtype="int64")
+    @F.arrow_udf(", ".join(f"{m} long" for m in MEASURES))
+    def measured(texts: pa.Array) -> pa.Array:
+        rows = [measure(text) for text in few_at_a_time(texts)]
+        columns = zip(*rows, strict=True) if rows else [[]] * len(MEASURES)
+        return pa.StructArray.from_arrays(
+            [pa.array(c, pa.int64()) for c in columns], names=list(MEASURES)
+        )
 
     return measured(text.cast("string"))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from timepoint.llm.common import arrow_map
 
 LIMIT = 4096
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 _MARK = "▁"
 
 
