@@ -140,3 +140,35 @@ def test_a_passage_that_many_share_costs_one_row_each(make_docs):
     rows = substring_dedup.repeats(docs).collect()
     assert len(rows) == 59 and {r.leader for r in rows} == {0}
     assert all(words(passage) and r.stop - r.start == 70 for r in rows)
+
+
+def hashed(text):
+    return next(substring_dedup.shingled([text], substring_dedup.WordHashes()))
+
+
+@pytest.mark.parametrize("swap", [False, True])
+def test_segments_use_every_place_of_a_shingle(swap):
+    p = story("p", 60).split(" ")
+    leader = hashed(" ".join([*p[:40], story("between", 30), *p]))
+    own = hashed(" ".join(p))
+    found = substring_dedup.segments(*((leader, own) if swap else (own, leader)), 46, 0.8)
+    place = (70, 126, 0, 56) if swap else (0, 56, 70, 126)
+    assert place in found
+
+
+def test_segments_split_passages_that_touch():
+    p = mutated(story("p", 60), 0, 1).split(" ")
+    q = story("q", 60)
+    near = [*p[:25], "x", *p[26:]]  # runs of 21 and 30 shingles
+    own = hashed(" ".join([*near, q]))
+    leader = hashed(" ".join([q, story("between", 200), *p]))
+    found = substring_dedup.segments(own, leader, 46, 0.8)
+    covered = {i for start, stop, *_ in found for i in range(start, stop)}
+    assert covered >= set(range(56)) and covered >= set(range(60, 116))
+
+
+def test_segments_of_texts_that_repeat_themselves(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "_PAIRS", 500)
+    own, other = hashed("the " * 90), hashed("a b " * 40 + "the " * 70)
+    found = substring_dedup.segments(own, other, 46, 0.8)
+    assert {i for start, stop, *_ in found for i in range(start, stop)} == set(range(86))
