@@ -172,3 +172,31 @@ def test_segments_of_texts_that_repeat_themselves(monkeypatch):
     own, other = hashed("the " * 90), hashed("a b " * 40 + "the " * 70)
     found = substring_dedup.segments(own, other, 46, 0.8)
     assert {i for start, stop, *_ in found for i in range(start, stop)} == set(range(86))
+
+
+def edited(words_, places, mark):
+    return [f"{mark}{i}" if i in places else w for i, w in enumerate(words_)]
+
+
+def brute_force(texts):
+    """Per document: words that an earlier one has too, comparing all pairs."""
+    removable = {}
+    for doc in range(len(texts)):
+        for earlier in range(doc):
+            for a, b, *_ in substring_dedup.segments(hashed(texts[doc]), hashed(texts[earlier]), 46, 0.8):
+                removable.setdefault(doc, set()).update(range(a, b + 4))
+    return removable
+
+
+@pytest.mark.parametrize("block", [2, 64])
+def test_chains_of_near_passages_equal_brute_force(make_docs, block):
+    texts = []
+    for family in range(8):
+        p = story(f"p{family}", 100).split(" ")
+        b = edited(p, (20, 70), "b")
+        c = edited(b, (40, 55), "c")
+        d = edited(c, (10, 85), "d")
+        texts += [" ".join([story(f"l{family}{i}", 60), *w]) for i, w in enumerate((p, b, c, d))]
+    rows = substring_dedup.repeated_passages(make_docs(texts), functions=6, block=block).collect()
+    found = {r.doc_id: {i for s in r.removable for i in range(s.start, s.stop)} for r in rows}
+    assert {k: v for k, v in found.items() if v} == brute_force(texts)
