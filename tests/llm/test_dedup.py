@@ -200,3 +200,19 @@ def test_chains_of_near_passages_equal_brute_force(make_docs, block):
     rows = substring_dedup.repeated_passages(make_docs(texts), functions=6, block=block).collect()
     found = {r.doc_id: {i for s in r.removable for i in range(s.start, s.stop)} for r in rows}
     assert {k: v for k, v in found.items() if v} == brute_force(texts)
+
+
+def test_one_shared_minimum_of_any_function_is_enough():
+    rng, missed = random.Random(7), 0
+    for _ in range(300):
+        p = [f"w{rng.random()}" for _ in range(50)]
+        near = edited(p, (25,), "x")  # 41 of 51 shingles
+        one = hashed(" ".join([story("a", 60), *p, story("b", 60)]))
+        two = hashed(" ".join([story("c", 60), *near, story("d", 60)]))
+        minima = []
+        for x in (one, two):
+            by = [substring_dedup.mixed(x ^ substring_dedup._SEEDS[f]) for f in range(substring_dedup.FUNCTIONS)]
+            minima.append({(f, int(h[c])) for f, h in enumerate(by) for _, c, _ in substring_dedup.compact_windows(h, 46)})
+        shared = {f for f, _ in minima[0] & minima[1]}
+        missed += not shared
+    assert missed == 0 and substring_dedup.FUNCTIONS >= 6
