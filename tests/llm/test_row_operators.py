@@ -138,6 +138,51 @@ def test_signatures(make_docs, text, label, score):
     assert r.labels == label and r.score == score
 
 
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("SPDX-License-Identifier: EPL-2.0", "epl-2"),
+        ("SPDX-License-Identifier: BSL-1.0", "boost-1"),
+        ("SPDX-License-Identifier: MPL-1.1", "mpl-1.1"),
+        ("SPDX-License-Identifier: CPL-1.0", "cpl-1"),
+        ("the SIL Open Font License 1.1", "ofl-1.1"),
+        ("Business Source License 1.1", "bsl-1.1"),
+        ("Server Side Public License", "sspl-1"),
+        ("Open Database License", "odbl-1"),
+        ("Open Data Commons Attribution License", "odc-by-1"),
+        ("Public Domain Dedication and License", "pddl-1"),
+        ("an Expat license", "mit"),
+        ("Creative Commons Attribution Share Alike 4.0", "cc-by-sa"),
+        ("Creative Commons Attribution Non Commercial 4.0", "cc-by-nc"),
+    ],
+)
+def test_the_gate_lets_every_form_pass(make_docs, text, label):
+    (r,) = licenses.scan(make_docs([text])).collect()
+    assert label in r.labels.split(",")
+
+
+def test_the_gate_is_sound(make_docs):
+    texts = []
+    for _, _, spdx, title in licenses.LICENSES:
+        for _, _, _, form in licenses.FORMS:
+            own = spdx if "{id}" in form else title
+            filled = licenses.sayings(form.format(id="IT", title="IT"))[-1]
+            for saying in {*licenses.sayings(own)[:1], *licenses.sayings(own)[-1:]}:
+                texts.append(filled.replace("IT", saying))
+    for _, keyword, *expressions in licenses.LICENSES:
+        for own in expressions:
+            keywords = set(licenses._keywords(own, keyword))
+            for saying in licenses.sayings(own):
+                assert re.fullmatch(own, saying) and keywords & set(saying.split())
+    texts.append("no license is named here")
+    found = {r.doc_id: r for r in licenses.scan(make_docs(texts)).collect()}
+    for doc, text in enumerate(texts):
+        matches = {r["label"] for r in licenses.rules() if re.search(r["regex"], f" {text} ")}
+        # suppression hides labels of the whole, never all of them
+        own = set(filter(None, found[doc].labels.split(",")))
+        assert own <= matches and bool(own) == bool(matches), text
+
+
 def test_contained_detections_are_suppressed(make_docs):
     (r,) = licenses.scan(make_docs(["This is licensed under the MIT License today."])).collect()
     assert [(d.start, d.stop, d.label) for d in r.detections] == [(2, 6, "mit")]

@@ -1,7 +1,8 @@
 """License scans: ordered signature rules behind a keyword gate.
 
 A rule is a regular expression over the text's words, joined by single spaces, with a label,
-a priority and the keyword without which it cannot match. One pass looks for keywords; only
+a priority and keywords without any of which it cannot match: one for each way to say its
+identifier or its title. One pass looks for keywords; only
 texts that hold some are matched, and only against those keywords' rules. Detections lying
 within another of the same or higher priority are suppressed, so "licensed under the MIT
 license" is one notice and not also a title and a mention.
@@ -11,7 +12,10 @@ Only DataFrame functions are used and no rows meet, so nothing is shuffled.
 
 from __future__ import annotations
 
+import itertools
 import json
+import re
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +30,7 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Label, keyword, identifier and title of each license, as regular expressions over
+#: Label, preferred keyword, identifier and title of each license, as regular expressions over
 #: lower-cased words (punctuation is already a space). Written by hand.
 LICENSES = (
     ("mit", "mit", "mit", "(?:mit|expat) licen[sc]e"),
@@ -115,7 +119,59 @@ FORMS = (
     ("mention", 1, 0.5, "{id} licen[sc]ed?"),
 )
 PRIORITIES = max(p for _, p, _, _ in FORMS)
-_RULE = "array<struct<rule:int,label:string,keyword:string,priority:int,confidence:double,regex:string>>"
+_RULE = "array<struct<rule:int,label:string,keywords:array<string>,priority:int,confidence:double,regex:string>>"
+
+
+#: Words too common for a keyword where an expression has another one.
+_COMMON = frozenset(
+    "a all and as by distribution either free general licence license of open or "
+    "public software source the to under v version".split()
+)
+_PIECE = re.compile(r"\(\?:|[|()]|\[[^]]*\]|\\d|.")
+
+
+@cache
+def sayings(expression: str) -> tuple[str, ...]:
+    """What an expression can stand for; of repetitions (``*``, ``{m,n}``) without any."""
+    pieces = _PIECE.findall(re.sub(r"\(\?: \\d\{4\}\)\*|\.\{0,60\}", "", expression))
+
+    def either() -> list[str]:
+        out = sequence()
+        while pieces and pieces[0] == "|":
+            pieces.pop(0)
+            out += sequence()
+        return out
+
+    def sequence() -> list[str]:
+        out = [""]
+        while pieces and pieces[0] not in "|)":
+            piece = pieces.pop(0)
+            if piece == "(?:":
+                some = either()
+                pieces.pop(0)
+            else:
+                some = list(piece[1:-1]) if piece[0] == "[" and "-" not in piece else [piece]
+                if piece == "[1-4]":
+                    some = list("1234")
+            if pieces and pieces[0] == "?":
+                pieces.pop(0)
+                some = ["", *some]
+            out = [a + b for a, b in itertools.product(out, some)]
+        return out
+
+    return tuple(dict.fromkeys(either()))
+
+
+def _keywords(expression: str, preferred: str) -> list[str]:
+    """Words of which everything that the expression matches holds one."""
+    found = set()
+    for saying in sayings(expression):
+        words = saying.split()
+        if preferred in words:
+            found.add(preferred)
+        else:
+            found.add(max(words, key=lambda w: (w not in _COMMON, not w.isdigit(), len(w), w)))
+    return sorted(found)
 
 
 def rules() -> list[dict]:
@@ -123,7 +179,7 @@ def rules() -> list[dict]:
     return [
         {
             "label": label,
-            "keyword": keyword,
+            "keywords": _keywords(spdx if "{id}" in form else title, keyword),
             "priority": priority,
             "confidence": confidence,
             "regex": "(?<= )(?:" + form.format(id=spdx, title=title) + ")(?= )",
@@ -220,7 +276,7 @@ def scan(docs: DataFrame) -> DataFrame:
     score is the highest confidence of a detection or 1 where a base phrase stands. Rows are
     independent; repeated rows and other columns do not matter.
     """
-    gate = _any_of(sorted({keyword for _, keyword, _, _ in LICENSES}))
+    gate = _any_of(sorted({word for rule in rules() for word in rule["keywords"]}))
     base = _any_of(list(PHRASES))
     listed = F.from_json(
         F.lit(json.dumps([{"rule": i} | rule for i, rule in enumerate(rules())])), _RULE
@@ -245,7 +301,7 @@ def scan(docs: DataFrame) -> DataFrame:
         _unsuppressed(
             F.flatten(
                 F.transform(
-                    F.filter(listed, lambda r: F.array_contains("_words", r["keyword"])),
+                    F.filter(listed, lambda r: F.arrays_overlap("_words", r["keywords"])),
                     lambda r: _spans(text, r),
                 )
             )
