@@ -141,6 +141,13 @@ def test_hosts_without_article_tags():
     assert wrappers.main_text(pages[2], way) == f"{story(2, 30)}\n{story(52, 30)}"
 
 
+def test_raw_text_ends_with_its_element():
+    for tag in ("<svg-icon name=x></svg-icon>", "<title-bar></title-bar>", "<svg class='i'/>", "<svg/>"):
+        page = f"<article><p>One</p>{tag}<p>Two</p></article>"
+        assert wrappers.main_text(page, ["article"]) == "One\nTwo"
+    assert wrappers.main_text("<article>a<svg x><p>no</p></svg >b</article>", ["article"]) == "ab"
+
+
 def shape(items):
     return [[k or shape(inner), q] for k, q, _, _, _, inner in items]
 

@@ -64,7 +64,8 @@ SALTS = 32
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|textarea|title|noscript|template|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<svg(?=[\s/>])[^>]*/>"
+    r"|<(script|style|textarea|title|noscript|template|svg|iframe)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
     re.S | re.I,
 )
