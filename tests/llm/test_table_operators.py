@@ -148,6 +148,22 @@ def test_raw_text_ends_with_its_element():
     assert wrappers.main_text("<article>a<svg x><p>no</p></svg >b</article>", ["article"]) == "ab"
 
 
+@pytest.mark.parametrize(
+    ("page", "expected_text"),
+    [
+        ("<body>{0}<br>{1}<blockquote><p>{2}</p></blockquote></body>", "{0} {1}\n{2}"),
+        ("<body><div class=x><p>{2}</p><ul><li>{0}</li><li>{1}</li></ul></div></body>", "{2}\n{0}\n{1}"),
+        ("<body><div class=lead><p>{2}</p></div><div class=text><p>{0}</p><p>{1}</p></div></body>", "{2}\n{0}\n{1}"),
+        ("{2}<div><p>{0}</p><p>{1}</p></div>", "{2}\n{0}\n{1}"),
+    ],
+)
+def test_nothing_beside_the_place_is_lost(page, expected_text):
+    parts = [(story(i, 60), story(i + 50, 60), story(i + 90, 6)) for i in range(4)]
+    pages = [page.format(*x) for x in parts]
+    way = wrappers.main_place(aligned(*pages))
+    assert wrappers.main_text(pages[1], way) == expected_text.format(*parts[1])
+
+
 def shape(items):
     return [[k or shape(inner), q] for k, q, _, _, _, inner in items]
 

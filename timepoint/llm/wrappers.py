@@ -19,6 +19,7 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -61,6 +62,7 @@ CLOSED_BY = {
 MAIN = ("article", "main")
 BROADCAST_BYTES = 16 << 20
 SALTS = 32
+SAME_PAGES = 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -152,8 +154,9 @@ def blocks(node: Node) -> Iterator[str]:
         yield flat
 
 
-# A pattern is a list of items [key, quantifier, text, link text, furniture, pattern]; a group
-# has the key "" and no text of its own. All keys of a level, groups included, differ.
+# A pattern is a list of items [key, quantifier, text, [print, pages], furniture, pattern]; a
+# group has the key "" and no text of its own. The print is one of all text in the slot outside
+# links and furniture, "" where there is none and "*" where pages differ. All keys of a level, groups included, differ.
 Item = list
 _OPTIONAL = {"1": "?", "?": "?", "+": "*", "*": "*"}
 _REPEATED = {"1": "+", "?": "*", "+": "+", "*": "*"}
@@ -169,12 +172,20 @@ def _either(a: str, b: str) -> str:
     return ("+" if once else "*") if "+" in a + b or "*" in a + b else ("1" if once else "?")
 
 
+def _seen(a: list, b: list) -> list:
+    """The print of a slot on the pages of both, and the pages that have text in it."""
+    if not a[0] or not b[0]:
+        return b if not a[0] else a
+    return [a[0] if a[0] == b[0] else "*", a[1] + b[1]]
+
+
 def _same(a: Item, b: Item) -> Item:
     """Two slots, or slots and groups that share keys, made one."""
     if a[0] and b[0]:
-        return [a[0], _either(a[1], b[1]), a[2] + b[2], a[3] + b[3], a[4], align(a[5], b[5])]
+        seen = _seen(a[3], b[3])
+        return [a[0], _either(a[1], b[1]), a[2] + b[2], seen, a[4], align(a[5], b[5])]
     inner = align(a[5] if not a[0] else [a], b[5] if not b[0] else [b])
-    return ["", _either(a[1], b[1]), 0, 0, False, inner]
+    return ["", _either(a[1], b[1]), 0, ["", 0], False, inner]
 
 
 def _folded(items: list[Item]) -> list[Item]:
@@ -192,7 +203,7 @@ def _folded(items: list[Item]) -> list[Item]:
             between = [[x[0], _OPTIONAL[x[1]], *x[2:]] for x in out[at + 1 :]]
             flat = [y for x in [out[at], *between] for y in (x[5] if not x[0] else [x])]
             merged = align(flat, item[5] if not item[0] else [item])
-            out[at:] = [["", "+", 0, 0, False, merged]]
+            out[at:] = [["", "+", 0, ["", 0], False, merged]]
     return out
 
 
@@ -224,14 +235,35 @@ def align(a: list[Item], b: list[Item]) -> list[Item]:
     return _folded(out)
 
 
+def _print(texts: list[str]) -> list:
+    flat = _SPACES.sub(" ", " ".join(texts)).strip()
+    return [blake2b(flat.encode("utf-8", "surrogatepass"), digest_size=6).hexdigest(), 1] if flat else ["", 0]
+
+
+def _unlinked(node: Node) -> Iterator[str]:
+    """Texts outside links and furniture in a node."""
+    for part in node.holds:
+        if isinstance(part, tuple):
+            if not part[1]:
+                yield part[0]
+        elif not part.furniture:
+            yield from _unlinked(part)
+
+
 def pattern(node: Node) -> list[Item]:
-    """The pattern of one page below a node."""
-    items = []
+    """The pattern of one page below a node; text beside all elements has a slot "#text"."""
+    items, prints = [], {}
     for part in node.holds:
         if isinstance(part, Node):
-            own = [p for p in part.holds if isinstance(p, tuple)]
-            amount = [sum(len(t.strip()) for t, link in own if link is x) for x in (False, True)]
-            items.append([part.key, "1", *amount, part.furniture, pattern(part)])
+            own = sum(len(t.strip()) for p in part.holds if isinstance(p, tuple) for t in p[:1] if not p[1])
+            texts = [] if part.furniture else list(_unlinked(part))
+            prints.setdefault(part.key, []).extend(texts)
+            items.append([part.key, "1", own, ["", 0], part.furniture, pattern(part)])
+    for item in items:  # slots of one key are one slot, also with one print
+        item[3] = _print(prints.pop(item[0], []))
+    own = [p[0] for p in node.holds if isinstance(p, tuple) and not p[1] and p[0].strip()]
+    if own and not node.tag:
+        items.append(["#text", "?", sum(len(x.strip()) for x in own), _print(own), False, []])
     return _folded(items)
 
 
@@ -241,8 +273,9 @@ def _weights(items: list[Item]) -> int:
 
 
 def main_place(items: list[Item]) -> list[str]:
-    """Keys on the way to the host's main text: the heaviest article, else the slot that holds
-    four fifths of all text, as deep as there is one."""
+    """Keys on the way to the host's main text: the heaviest article, else the slot beside
+    which, in all that holds it, there is only boilerplate: links, furniture and texts that are the
+    same on ``SAME_PAGES`` pages and more, less than a fifth of all."""
     found: list[tuple[int, int, list[str]]] = []
 
     def look(items: list[Item], way: list[str]) -> None:
@@ -258,15 +291,27 @@ def main_place(items: list[Item]) -> list[str]:
     if found and max(found)[0]:
         return max(found)[2]
     way: list[str] = []
+    own = 0
     while True:
-        flat = [y for x in items for y in ([x] if x[0] else x[5])]
-        weight = sum(0 if x[4] else x[2] + _weights(x[5]) for x in flat)
-        heavy = [x for x in flat if not x[4] and 5 * (x[2] + _weights(x[5])) >= 4 * weight > 0]
+        flat = [y for x in items for y in ([x] if x[0] else _flat(x[5]))]
+        weighed = [(0 if x[4] else x[2] + _weights(x[5]), x) for x in flat]
+        weight = own + sum(w for w, _ in weighed)
+        heavy = [x for w, x in weighed if 5 * w >= 4 * weight > 0]
         # a block of text itself is not the place, what holds the blocks is
-        if not heavy or not any(not x[4] for x in heavy[0][5]):
+        if own or not heavy or not any(not x[4] for x in heavy[0][5]):
+            return way
+        if any(w and x is not heavy[0] and not _boilerplate(x) for w, x in weighed):
             return way
         way.append(heavy[0][0])
-        items = heavy[0][5]
+        own, items = heavy[0][2], heavy[0][5]
+
+
+def _flat(items: list[Item]) -> list[Item]:
+    return [y for x in items for y in ([x] if x[0] else _flat(x[5]))]
+
+
+def _boilerplate(item: Item) -> bool:
+    return item[3][0] != "*" and item[3][1] >= SAME_PAGES
 
 
 def main_text(page: str | None, way: list[str]) -> str:
