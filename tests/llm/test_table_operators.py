@@ -164,6 +164,24 @@ def test_nothing_beside_the_place_is_lost(page, expected_text):
     assert wrappers.main_text(pages[1], way) == expected_text.format(*parts[1])
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='content with-sidebar'><article><p>{0}</p></article></div>",
+        "<div class='sidebar'><article><p>{0}</p></article></div><div class=sidebar-left>no</div>",
+        "<div class='post category-social tag-advertising'><p>{0}</p></div>",
+        "<article><div class='ad-free'><p>{0}</p></div><div class=ad_box>no</div></article>",
+        "<form runat=server><div><p>{0}</p></div><div class=widget>no</div></form>",
+        "<form><main><p>{0}</p><form>no</form></main></form>",
+        "<form><article><p>{0}</p></article><div class=comments><article>no</article></div></form>",
+    ],
+)
+def test_marks_do_not_take_the_article(page):
+    pages = [page.format(story(i, 40)) for i in range(4)]
+    way = wrappers.main_place(aligned(*pages))
+    assert wrappers.main_text(pages[1], way) == story(1, 40)
+
+
 def shape(items):
     return [[k or shape(inner), q] for k, q, _, _, _, inner in items]
 

@@ -41,7 +41,8 @@ FURNITURE = frozenset(
     "aside button canvas dialog datalist footer form head header iframe map menu nav noscript "
     "object script search select style svg template textarea title".split()
 )
-#: Words of a class, id or role that mark furniture.
+#: Class names, ids and roles, or their heads before a hyphen or underscore, that mark furniture;
+#: what holds an article or, on a page without one, most of the text, is none all the same.
 MARKS = frozenset(
     "ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs comment "
     "comments commentlist consent cookie cookies copyright disqus footer gdpr header masthead "
@@ -60,6 +61,8 @@ CLOSED_BY = {
     "option": frozenset(["option"]),
 }
 MAIN = ("article", "main")
+#: After a head these say that there is none of it.
+_WITHOUT = frozenset(["free", "less", "off", "none", "no", "without"])
 BROADCAST_BYTES = 16 << 20
 SALTS = 32
 SAME_PAGES = 3
@@ -76,10 +79,19 @@ _HOST = re.compile(r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 _SPACES = re.compile(r"\s+")
 
 
+def _is_marked(attributes: str) -> bool:
+    for m in _NAMED.finditer(attributes):
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            head, _, rest = re.sub(r"_", "-", name).partition("-")
+            if name in MARKS or (head in MARKS and rest.split("-")[0] not in _WITHOUT):
+                return True
+    return False
+
+
 class Node:
     """A block element: its key, whether it is furniture, and what it holds in order."""
 
-    __slots__ = ("tag", "key", "furniture", "holds")
+    __slots__ = ("tag", "key", "marked", "furniture", "holds")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
         names = sorted(
@@ -91,9 +103,11 @@ class Node:
             }
         )
         self.tag, self.key = tag, ".".join([tag, *names])
-        self.furniture = tag in FURNITURE or (
-            tag not in ("html", "body", *MAIN) and not MARKS.isdisjoint(names)
+        # a form may be around a whole page, and a name say little
+        self.marked = tag == "form" or (
+            tag not in ("html", "body", *MAIN) and tag not in FURNITURE and _is_marked(attributes)
         )
+        self.furniture = tag in FURNITURE or self.marked
         self.holds: list[Node | tuple[str, bool]] = []
 
 
@@ -135,9 +149,41 @@ def parse(page: str) -> Node:
         if tag not in VOID and not attributes.endswith("/"):
             open_nodes.append(node)
     text(page[at:])
+    _decide(root)
     return root
 
 
+def _decide(root: Node) -> None:
+    """Marked elements and forms around a page's articles are content: those of the articles
+    with fewest around them, so that comments which are articles too stay out. On a page
+    without any it is what holds most of the text outside links."""
+    around: list[list[Node]] = []  # of each article
+    amounts: list[tuple[Node, int]] = []
+
+    def look(node: Node, within: list[Node]) -> int:
+        amount = 0
+        if node.tag in MAIN:
+            around.append(within)
+        for part in node.holds:
+            if isinstance(part, tuple):
+                amount += 0 if part[1] else len(part[0].strip())
+            elif part.marked:
+                inner = look(part, [*within, part])
+                amounts.append((part, inner))
+                amount += inner
+            elif not part.furniture:
+                amount += look(part, within)
+        return amount
+
+    whole = look(root, [])
+    fewest = min(map(len, around), default=0)
+    content = [n for nodes in around if len(nodes) == fewest for n in nodes]
+    if not around:
+        content = [node for node, amount in amounts if 2 * amount > whole]
+    for node in content:
+        node.furniture = False
+
+
 def blocks(node: Node) -> Iterator[str]:
     """Texts of the blocks in a node, without furniture, white space made single."""
     own: list[str] = []
