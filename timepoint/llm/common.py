@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from timepoint.sources.storage import checkpointed
+
 #: Fixed by the contracts: words are runs of anything but these six white-space characters,
 #: which are exactly those that ``bytes.split()`` splits at.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,14 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written to the session's checkpoint folder and read back.
 
-    The folder comes from ``spark.checkpoint.dir``, which on a cluster names shared storage;
-    only a session without that setting (tests) gets a folder of its own.
+    The folder comes from ``spark.checkpoint.dir``; without it only a local session (tests)
+    gets a folder of its own, a cluster is refused.
     """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="timepoint-llm-"))
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def ascii_lower(text: Column) -> Column:

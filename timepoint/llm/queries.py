@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from timepoint.llm import (
+    fingerprints,
     grades,
     licenses,
     mixing,
@@ -86,6 +87,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("passages", "removable")
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_mixing": op2_mixing,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_substrings": op10_substrings,
+    "op13_fingerprints": op13_fingerprints,
 }
 #: The word separators of ``common.WORD`` in SQL text.
 _BLANKS = r"\x20\x09-\x0D"
