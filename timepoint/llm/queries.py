@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from timepoint.llm import (
+    crc_checks,
     fingerprints,
     grades,
     licenses,
     mixing,
     near_dedup,
     packing,
+    prefix_trie,
     quality_rules,
+    spelling,
     substring_dedup,
     token_counts,
     topk,
@@ -87,6 +90,14 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("passages", "removable")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(table(spark, sf_dir, "documents"))
 
@@ -102,6 +113,8 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_substrings": op10_substrings,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_spelling": op12_spelling,
     "op13_fingerprints": op13_fingerprints,
 }
 #: The word separators of ``common.WORD`` in SQL text.
@@ -188,6 +201,8 @@ _OP1_SQL = rf"""
 CHECKS: dict[str, str] = {
     "op1_near_duplicates": _OP1_SQL,
     "op8_quality_rules": _op8_sql(),
+    "op11_prefix_trie": crc_checks.OP11,
+    "op12_spelling": crc_checks.OP12,
     "op7_top_k": """
         WITH parts AS (
             SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
