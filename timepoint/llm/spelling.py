@@ -186,8 +186,8 @@ class Index:
             done = used1 == size[q1]
             if done.any():
                 low2, high2 = self.extend(np.zeros(done.sum(), np.int64), low1[done], high1[done])
-                hit = low2 < high2
-                # rank among delimiters; the first is the one with nothing behind it
+                # ranks among delimiters; the first is the last one, with nothing behind it
+                hit = (low2 < high2) & (low2 > 0)
                 found_q.append(q1[done][hit])
                 found_w.append(low2[hit] - 1)
             q1, low1, high1, used1 = (x[~done] for x in one)
