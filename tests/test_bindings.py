@@ -1,15 +1,11 @@
-"""Bound tables keep every row of their source; streams keep every report."""
+"""Bound tables keep every row of their source."""
 
 from __future__ import annotations
 
-import uuid
-
-import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
 from timepoint.plans.binding import AREA_SOUTH, AREA_WEST, AREA_WIDTH, Tables
-from timepoint.streaming import positions, situations
 
 
 def test_no_rows_are_cut(tables):
@@ -41,50 +37,5 @@ def test_areas_of_further_millions_do_not_overlap(spark):
         assert width > 0
 
 
-@pytest.fixture(scope="module")
-def landed(spark, tables, tmp_path_factory):
-    """Reports of a week in no order of time, each poll repeating some of an earlier file."""
-    folder = str(tmp_path_factory.mktemp("landed"))
-    pings = tables.pings_all.select("vehicle_id", "ts", "ts_utc", "lat", "lon", "trip_id", "service_date")
-    for third in range(3):
-        part = pings.filter(F.pmod(F.xxhash64("vehicle_id", "ts"), F.lit(3)) <= third)
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return folder, pings.select("vehicle_id", "ts").distinct().count()
-
-
-@pytest.mark.parametrize("files", [1, 2, 10])
-def test_dedup_stream_equals_batch(spark, landed, tmp_path, files):
-    folder, wanted = landed
-    schema = spark.read.parquet(folder).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
-    unique = positions.stream_dedup_pings(stream).select("vehicle_id", "ts")
-    name = uuid.uuid4().hex
-    got = positions.run_available(unique, f"{tmp_path}/{name}", f"{tmp_path}/{name}-progress")
-    assert got.count() == got.distinct().count() == wanted
-
-
-def test_dedup_stream_goes_on_after_a_stop(spark, landed, tables, tmp_path):
-    folder, wanted = landed
-    arriving, sink, progress = (f"{tmp_path}/{x}" for x in ("arriving", "sink", "progress"))
-    rows = spark.read.parquet(folder)
-    for _ in range(2):  # the second run meets the same reports again
-        rows.write.mode("append").parquet(arriving)
-        stream = spark.readStream.schema(rows.schema).parquet(arriving)
-        unique = positions.stream_dedup_pings(stream).select("vehicle_id", "ts")
-        got = positions.run_available(unique, sink, progress)
-    assert got.count() == wanted
-
-
-def test_latest_situations_over_many_batches(spark, tables, tmp_path):
-    snapshots = tables.situation_snapshots
-    snapshots.repartition(4).write.parquet(f"{tmp_path}/in")
-    stream = (
-        spark.readStream.schema(snapshots.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    )
-    got = situations.stream_situations(stream, f"{tmp_path}/state", f"{tmp_path}/progress")
-    keys = ("situation_id", "fetched_at", "snapshot_id")
-    assert sorted(got.select(*keys).collect()) == sorted(tables.situations_latest.select(*keys).collect())
-
-
 def test_tables_of_another_folder_are_apart(spark):
     assert Tables(spark, SMALL).sf_dir == SMALL

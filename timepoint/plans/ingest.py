@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timepoint.operators import operation, profile, warehouse
+from timepoint.plans import landing
 from timepoint.plans.binding import Tables
 from timepoint.plans.oracle import IN_BOX
 from timepoint.plans.registry import query
@@ -138,13 +139,13 @@ def _named(t: Tables) -> DataFrame:
     "lat lon bearing",
 )
 def _(t: Tables) -> DataFrame:
-    decoded = positions.decode_position_snapshots(positions.encode_snapshots(_named(t)))
+    decoded = positions.decode_position_snapshots(landing.encode_snapshots(_named(t)))
     return positions.decoded_pings(decoded).drop("source", "ts_utc")
 
 
 def _damaged(t: Tables) -> DataFrame:
     """Encoded snapshots plus a cut-off copy of those whose number ends in 3."""
-    whole = positions.encode_snapshots(_named(t))
+    whole = landing.encode_snapshots(_named(t))
     cut = whole.filter("source like '%3'").select(
         F.concat("source", F.lit("-cut")).alias("source"),
         F.expr("substring(content, 1, length(content) - 3)").alias("content"),

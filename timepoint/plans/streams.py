@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timepoint.plans import landing
 from timepoint.plans.binding import Tables
 from timepoint.plans.oracle import IN_BOX
 from timepoint.plans.registry import query
 from timepoint.streaming import positions
-from timepoint.streaming.situations import generation, latest_generation, stream_situations
+from timepoint.sources.parts import Parts, bucket_of, upsert_batch
+from timepoint.sources.positions import dedup_pings
+from timepoint.sources.situations import latest_situation
+from timepoint.streaming.positions import generation, latest_generation
+from timepoint.streaming.situations import stream_situations
 
 
 def _stream(t: Tables) -> DataFrame:
@@ -39,9 +44,93 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("stream_dedup_pings", "select distinct vehicle_id, ts from pings_repeated")
+#: Polls in ten minutes by a thousand vehicles, which bounds a snapshot's size.
+_POLL = "service_date || '/' || (snapshot_id {div} 10) || '-' || (cast(substr(vehicle_id, 2) as bigint) {div} 1000)"
+_BATCHES = 4
+
+
+def _landed_snapshots(t: Tables) -> tuple[str, int]:
+    """All reports as snapshot files, and a cut-off copy of some; their folder and number."""
+    named = t.pings_repeated.withColumn("source", F.expr(_POLL.format(div="div")))
+    whole = landing.encode_snapshots(named)
+    cut = F.expr("substring(content, 1, length(content) - 3)")
+    copies = F.when(F.col("source").rlike("3-[0-9]+$"), F.array(F.lit(""), F.lit("-cut"))).otherwise(F.array(F.lit("")))
+    files = whole.select("source", "content", F.explode(copies).alias("mark")).select(
+        F.concat("source", "mark").alias("source"),
+        F.when(F.col("mark") == "", F.col("content")).otherwise(cut).alias("content"),
+    )
+    folder = positions.new_folder(t.spark, "snapshots")
+    return folder, landing.land_files(files, folder, ".pb")
+
+
+def _ingested(t: Tables) -> str:
+    folder, n = _landed_snapshots(t)
+    table = positions.new_folder(t.spark, "pings")
+    decoded = positions.stream_snapshots(t.spark, folder, files_per_batch=max(1, -(-n // _BATCHES)))
+    positions.ingest_snapshots(decoded, table, positions.new_folder(t.spark, "progress"))
+    return table
+
+
+@query(
+    "stream_snapshots",
+    """with seen as (
+            select vehicle_id, ts, trip_id, route_id, cast(cast(lat as float) as double) as lat,
+                   cast(cast(lon as float) as double) as lon, bearing from pings_repeated)
+       select * exclude (place) from (
+            select *, row_number() over (partition by vehicle_id, ts order by trip_id nulls last,
+                      route_id, lat, lon, bearing nulls first) as place from seen)
+       where place = 1""",
+    "lat lon bearing",
+)
+def _(t: Tables) -> DataFrame:
+    pings = positions.ingested_pings(t.spark, _ingested(t)).drop("source", "ts_utc")
+    return dedup_pings(pings).drop("ts_utc")
+
+
+@query(
+    "stream_snapshot_quarantine",
+    f"""select distinct source || '-cut' as source, 'corrupt' as status
+        from (select {_POLL.format(div="//")} as source from pings_repeated)
+        where regexp_matches(source, '3-[0-9]+$')""",
+)
+def _(t: Tables) -> DataFrame:
+    bad = positions.ingested_quarantine(t.spark, _ingested(t))
+    return bad.select(F.regexp_extract("source", r"([^/]+/[^/]+)\.pb$", 1).alias("source"), "status")
+
+
+def _landed_reports(t: Tables, order: list[str]) -> DataFrame:
+    """All reports, landed in several sets of files that keep no order of time, as a stream."""
+    folder = positions.new_folder(t.spark, "landed")
+    files = t.spark.sparkContext.defaultParallelism
+    for which in order:
+        t.pings_repeated.filter(which).repartition(files).write.mode("append").parquet(folder)
+    return (
+        t.spark.readStream.schema(t.pings_repeated.schema)
+        .option("maxFilesPerTrigger", files)
+        .parquet(folder)
+    )
+
+
+_SETS = ["pmod(ts, 3) = 2 and service_date > '2024-01-02'", "pmod(ts, 3) = 0", "pmod(ts, 3) = 1",
+         "pmod(ts, 3) = 2 and service_date <= '2024-01-02'"]
+
+
+@query(
+    "stream_dedup_pings",
+    """select vehicle_id, ts, trip_id, route_id, lat, lon, bearing, service_date, snapshot_id
+       from (select *, row_number() over (
+                 partition by vehicle_id, ts
+                 order by trip_id nulls last, snapshot_id, route_id, lat, lon,
+                          bearing nulls first, service_date) as place
+             from pings_repeated) where place = 1""",
+    "lat lon bearing",
+)
 def _(t: Tables) -> DataFrame:
-    return _run(t, positions.stream_dedup_pings(_repeated_stream(t))).select("vehicle_id", "ts")
+    stream = _landed_reports(t, _SETS)
+    table = positions.new_folder(t.spark, "deduped")
+    positions.run_dedup(stream, table, positions.new_folder(t.spark, "progress"))
+    schema = stream.drop("ts_utc").schema
+    return positions.deduped_pings(t.spark, table, schema).drop("ts_utc")
 
 
 @query(
@@ -61,13 +150,48 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return positions.stream_quality(
-        _repeated_stream(t),
+        _landed_reports(t, _SETS),
         t.settings.box,
         positions.new_folder(t.spark, "reports"),
         positions.new_folder(t.spark, "progress"),
     )
 
 
+#: Batches of the upsert query, and buckets of keys of the tables it and the notices write here.
+_UPSERTS, _BUCKETS = 10, 16
+
+
+@query(
+    "upsert_batches",
+    f"""with notices as (
+            select situation_id, snapshot_id % {_UPSERTS} as batch,
+                   cast('0x' || substr(md5(situation_id), 1, 8) as bigint) % {_BUCKETS} as bucket
+            from situation_snapshots),
+        starts as (select bucket, situation_id, min(batch) as first from notices group by all),
+        touched as (select distinct batch, bucket from notices)
+        select cast(t.batch as int) as batch, count(distinct t.bucket) as buckets_touched,
+               count(*) as rows_written
+        from touched t join starts s on s.bucket = t.bucket and s.first <= t.batch
+        group by t.batch""",
+)
+def _(t: Tables) -> DataFrame:
+    table = Parts(t.spark, positions.new_folder(t.spark, "latest"))
+    notices = t.situation_snapshots
+    written = []
+    for batch in range(_UPSERTS):
+        arriving = notices.filter(F.col("snapshot_id") % _UPSERTS == batch)
+        report = upsert_batch(table, arriving, batch, ["situation_id"], latest_situation, _BUCKETS)
+        rows = table.read([f"{table.path}/rows={batch:09d}"], notices.schema) if report["buckets_touched"] else arriving
+        counted = rows.agg(
+            F.lit(batch).alias("batch"),
+            F.count_distinct(bucket_of(["situation_id"], _BUCKETS)).alias("buckets_touched"),
+            F.count(F.lit(1)).alias("rows_written"),
+        ).filter("rows_written > 0")
+        written.append(counted.first())
+    kinds = "batch int, buckets_touched bigint, rows_written bigint"
+    return t.spark.createDataFrame([tuple(r) for r in written if r is not None], kinds)
+
+
 @query(
     "stream_daily_counters",
     f"""select ts // 86400 as epoch_day,
@@ -106,8 +230,10 @@ def _(t: Tables) -> DataFrame:
         .option("maxFilesPerTrigger", files)
         .parquet(landed)
     )
-    return stream_situations(
+    latest, _ = stream_situations(
         snapshots,
         positions.new_folder(t.spark, "latest"),
         positions.new_folder(t.spark, "progress"),
-    ).select("situation_id", "summary", "fetched_at")
+        _BUCKETS,
+    )
+    return latest.select("situation_id", "summary", "fetched_at")

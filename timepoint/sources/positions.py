@@ -231,46 +231,3 @@ def count_raw_positions(decoded: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("snapshots"),
         F.coalesce(F.sum("vehicles"), F.lit(0)).alias("vehicle_positions"),
     )
-
-
-def encode_snapshots(pings: DataFrame) -> DataFrame:
-    """Pings packed into feed messages, (source, content); the decoder's counterpart.
-
-    Every row names its snapshot in ``source``; a snapshot is one poll's reports, so it is
-    small whatever the table's size. The names do not depend on how rows fall into tasks.
-    """
-    fields = ["source", "vehicle_id", "trip_id", "route_id", "lat", "lon", "bearing", "ts"]
-
-    def message_of(rows: list[tuple]) -> bytes:
-        feed = feed_message_class()()
-        feed.header.gtfs_realtime_version = "2.0"
-        feed.header.timestamp = int(max(row[7] for row in rows))
-        for _, vehicle_id, trip_id, route_id, lat, lon, bearing, ts in rows:
-            vehicle = feed.entity.add(id=vehicle_id).vehicle
-            vehicle.vehicle.id = vehicle_id
-            vehicle.timestamp = int(ts)
-            vehicle.position.latitude, vehicle.position.longitude = lat, lon
-            if bearing is not None:
-                vehicle.position.bearing = bearing
-            if trip_id is not None:
-                vehicle.trip.trip_id = trip_id
-            if route_id is not None:
-                vehicle.trip.route_id = route_id
-        return feed.SerializeToString()
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        for batch in batches:
-            packed: list[tuple[str, bytes]] = []
-            batch = batch.astype(object).where(batch.notna(), None)
-            for row in batch.itertuples(index=False, name=None):
-                if rows and rows[0][0] != row[0]:
-                    packed.append((rows[0][0], message_of(rows)))
-                    rows = []
-                rows.append(row)
-            yield pd.DataFrame(packed, columns=["source", "content"])
-        if rows:
-            yield pd.DataFrame({"source": [rows[0][0]], "content": [message_of(rows)]})
-
-    together = pings.select(*fields).repartition("source").sortWithinPartitions("source")
-    return together.mapInPandas(pack, "source string, content binary")

@@ -1,41 +1,37 @@
 """Continuous ingestion of disruption snapshots: the latest notice per situation.
 
-State is a Parquet table in generations: every micro-batch writes the next generation from
-the previous one and the arriving notices. The generation is named by the batch, so a
-batch repeated after a failure rewrites its own output and never reads it.
+State is a table in buckets of keys (:mod:`timepoint.sources.parts`). A micro-batch rewrites
+the buckets that its notices fall into and no others, so what is written follows what arrives
+and not the history; folders that were replaced are dropped after the commit.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from timepoint.sources.parts import Parts, folders_of, upsert_batch
 from timepoint.sources.situations import latest_situation
-from timepoint.sources.storage import existing_paths, matching_paths
 from timepoint.streaming.positions import run_batches
 
+BUCKETS = 64
 
-def generation(table: str, batch: int) -> str:
-    return f"{table.rstrip('/')}/generation={batch:09d}"
 
+def apply_snapshot(table: Parts, arriving: DataFrame, batch: int, buckets: int = BUCKETS) -> dict | None:
+    """Take the arriving notices into the table; a batch repeated after a failure changes nothing."""
+    return upsert_batch(table, arriving, batch, ["situation_id"], latest_situation, buckets)
 
-def apply_snapshot(table: str, arriving: DataFrame, batch: int) -> None:
-    """Write generation ``batch``: the newest of the previous one and the arriving notices."""
-    spark = arriving.sparkSession
-    for before in existing_paths(spark, [generation(table, batch - 1)]):
-        arriving = arriving.unionByName(spark.read.parquet(before))
-    latest_situation(arriving).write.mode("overwrite").parquet(generation(table, batch))
 
+def stream_situations(
+    snapshots: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS
+) -> tuple[DataFrame, list[dict]]:
+    """Consume all available snapshots: the latest notice per situation, and what each batch did."""
+    table = Parts(snapshots.sparkSession, path)
+    done: list[dict] = []
 
-def stream_situations(snapshots: DataFrame, table: str, checkpoint: str) -> DataFrame:
-    """Consume all available snapshots and return the latest notice per situation."""
-    run_batches(
-        snapshots, lambda arriving, batch: apply_snapshot(table, arriving, batch), checkpoint
-    )
-    return latest_generation(snapshots.sparkSession, table)
+    def handle(arriving: DataFrame, batch: int) -> None:
+        report = apply_snapshot(table, arriving, batch, buckets)
+        if report is not None:
+            done.append(report)
 
-
-def latest_generation(spark: SparkSession, table: str) -> DataFrame:
-    written = matching_paths(spark, f"{table.rstrip('/')}/generation=*")
-    if not written:
-        raise ValueError(f"nothing was written to {table}")
-    return spark.read.parquet(max(written))
+    run_batches(snapshots, handle, checkpoint)
+    return table.read(folders_of(table.current()), snapshots.schema), done
