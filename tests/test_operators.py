@@ -172,9 +172,21 @@ def test_spearman_matches_numpy(spark):
     assert got["a"] == pytest.approx(expected, abs=1e-12) and got["b"] == pytest.approx(1.0)
 
 
-def test_permutation_test_matches_brute_force(spark):
-    import hashlib
+def plain_shuffle(slot, replicate, n, seed):
+    prime, (a, b) = 2**31 - 1, statistics.shuffle_sides(n)
+    begin = (((replicate * 1_000_003 + seed * 7_919 + 12_345) ** 2 % prime) + replicate) ** 2 % prime
+    keys = [(begin + j * 362_437) ** 2 % prime for j in range(statistics.ROUNDS + 1)]
+    while True:
+        left, right = divmod(slot, b)
+        for j in range(statistics.ROUNDS):
+            mixed = (((right + 1) * keys[j] + keys[j + 1]) % prime) >> 7
+            left, right = right, (left + mixed) % (b if j % 2 else a)
+        slot = left * b + right
+        if slot < n:
+            return slot
+
 
+def test_permutation_test_matches_brute_force(spark):
     data = [(f"r{i}", i % 5, (i * 7) % 11 / 10) for i in range(14)]
     df = spark.createDataFrame(data, "u string, x int, y double")
     got = statistics.permutation_pvalue(df, "u", "x", "y", permutations=60, seed=3).first()
@@ -183,15 +195,37 @@ def test_permutation_test_matches_brute_force(spark):
     ry = pd.Series([d[2] for d in data]).rank().to_numpy()
     rho, hits = np.corrcoef(rx, ry)[0, 1], 0
     for rep in range(1, 61):
-        order = sorted(range(14), key=lambda i: hashlib.md5(f"3:{rep}:{data[i][0]}".encode()).hexdigest())
-        drawn = np.empty(14)
-        for slot, i in enumerate(order):
-            drawn[i] = rx[slot]
+        drawn = rx[[plain_shuffle(slot, rep, 14, 3) for slot in range(14)]]
         hits += round(abs(np.corrcoef(drawn, ry)[0, 1]), 12) >= round(abs(rho), 12)
     assert got["p_value_permutation"] == round(hits / 60, 5)
     assert got["spearman_rho"] == round(rho, 4) and got["n_routes"] == 14
 
 
+def test_shuffles_are_bijections_and_fair(spark):
+    for n in (1, 2, 7, 100, 1009):
+        for rep in (1, 2, 10_000):
+            assert sorted(plain_shuffle(k, rep, n, 11) for k in range(n)) == list(range(n))
+    # every slot goes everywhere about as often, and pairs of slots do so together
+    places = np.array([[plain_shuffle(k, rep, 7, 11) for k in range(7)] for rep in range(1, 4201)])
+    for k in range(7):
+        assert np.abs(np.bincount(places[:, k], minlength=7) - 600).max() < 110
+    pairs = np.bincount(places[:, 0] * 7 + places[:, 3], minlength=49)
+    assert np.abs(pairs[pairs > 0] - 100).max() < 45 and (pairs > 0).sum() == 42
+    for n in (100, 103):  # the second has slots beyond n to walk through
+        slots = spark.range(n).select(F.col("id").alias("slot"), F.lit(5).cast("long").alias("replicate"))
+        got = statistics.shuffled_slot(slots.coalesce(1), n, 11)
+        assert [r.slot for r in got.collect()] == [plain_shuffle(k, 5, n, 11) for k in range(n)]
+
+
+def test_permutations_of_many_units_join_instead(spark, monkeypatch):
+    df = spark.createDataFrame([(f"r{i}", i % 5, (i * 7) % 11 / 10) for i in range(14)], "u string, x int, y double")
+    sent = statistics.permutation_pvalue(df, "u", "x", "y", permutations=40).first()
+    monkeypatch.setattr(statistics, "SENT_UNITS", 3)
+    joined = statistics.permutation_pvalue(df, "u", "x", "y", permutations=40)
+    assert joined.first() == sent
+    assert "Window" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
 def predictions(spark, labels, scores, model="m"):
     data = [(model, l, s, int(s >= 0.5)) for l, s in zip(labels, scores)]
     return spark.createDataFrame(data, "model string, label int, score double, prediction int")

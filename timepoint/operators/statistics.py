@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timepoint.functions.buckets import TRIP_EDGES, TRIP_LABELS, bucket_right_closed
@@ -83,14 +83,77 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
+#: Rounds of a shuffle; units up to which their ranks are sent to every task (16 bytes each).
+ROUNDS, SENT_UNITS = 12, 500_000
+_PRIME = (1 << 31) - 1
+
+
+def _squared(z: Column) -> Column:
+    """A square modulo a prime of 31 bits, which any SQL engine has in its integers."""
+    rest = z % F.lit(_PRIME)
+    return rest * rest % F.lit(_PRIME)
+
+
+def shuffle_sides(n: int) -> tuple[int, int]:
+    """Two sides whose product is ``n`` or the least that is more, near its square root."""
+    root = max(1, round(n**0.5))
+    sides = range(max(2, (root + 1) // 2), 2 * root + 1)  # no side of one, which would only rotate
+    a = min(sides, key=lambda a: (a * -(-n // a), a))
+    return a, -(-n // a)
+
+
+def shuffled_slot(rows: DataFrame, n: int, seed: int, rounds: int = ROUNDS) -> DataFrame:
+    """``rows`` (slot, replicate, ...) with every slot of 0 .. n-1 moved by its replicate's shuffle.
+
+    A Feistel network on the pairs (slot div b, slot mod b) adds to each side in turn a hash of
+    the other, which is a bijection of a * b slots for every (seed, replicate); a slot that
+    comes out beyond n goes through it again until it is below. No slot needs to know another,
+    so nothing is sorted and nothing moves.
+    """
+    if rounds % 4:
+        raise ValueError("rounds come in fours")  # an even number leaves each side where it was
+    a, b = shuffle_sides(n)
+    begin = F.col("replicate") * F.lit(1_000_003) + F.lit(seed * 7_919 + 12_345)
+    keyed = rows.withColumn("_k", _squared(_squared(begin) + F.col("replicate")))
+    keyed = keyed.withColumns({f"_k{j}": _squared(F.col("_k") + j * 362_437) for j in range(rounds + 1)})
+
+    def passed(left: Column, right: Column, some: Iterable[int]) -> tuple[Column, Column]:
+        for j in some:
+            mixed = F.shiftright(((right + 1) * F.col(f"_k{j}") + F.col(f"_k{j + 1}")) % F.lit(_PRIME), 7)
+            left, right = right, (left + mixed) % F.lit(a if j % 2 == 0 else b)
+        return left, right
+
+    def halves(slot: Column) -> tuple[Column, Column]:
+        return F.floor(slot / F.lit(b)).cast("long"), slot % F.lit(b)
+
+    left, right = halves(F.col("slot"))
+    for start in range(0, rounds, 4):
+        # columns of their own every few rounds, as each round names both sides of the last one
+        left, right = passed(left, right, range(start, start + 4))
+        keyed = keyed.withColumns({"_left": left, "_right": right})
+        left, right = F.col("_left"), F.col("_right")
+    moved = left * F.lit(b) + right
+    if a * b > n:
+
+        def again(slot: Column) -> Column:
+            left, right = passed(*halves(slot), range(rounds))
+            return F.when(slot < n, slot).otherwise(left * F.lit(b) + right)
+
+        # no cycle has more slots beyond n than there are
+        moved = F.aggregate(F.sequence(F.lit(1), F.lit(a * b - n)), moved, lambda s, _: again(s))
+    return keyed.withColumn("slot", F.coalesce(moved, F.lit(0))).select(*rows.columns)
+
+
 def permutation_pvalue(
     df: DataFrame, unit: str, x: str, y: str, permutations: int = 10_000, seed: int = 11
 ) -> DataFrame:
     """Spearman rho with a two-sided permutation p-value (no +1 correction).
 
-    ``df`` has one row per ``unit`` (a route). Replicate r reorders the units by
-    md5(seed:r:unit), so any engine draws the same shuffles; replicates are spread over the
-    cluster and each one orders just the units.
+    ``df`` has one row per ``unit`` (a route). Replicate r gives each unit the x rank of the unit
+    whose slot :func:`shuffled_slot` names, so the rows of all replicates arise and are summed
+    where their unit lies: one sum per replicate and task is all that is shuffled, and any
+    engine draws the same shuffles. Ranks are looked up in a copy at every task as long as there
+    are at most ``SENT_UNITS`` units, beyond that by a join on the slot.
     """
     units = checkpointed(
         df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
@@ -108,19 +171,18 @@ def permutation_pvalue(
     ranked = checkpointed(
         numbered.join(ranks("x"), "x")
         .join(ranks("y"), "y")
-        .select("unit", F.col("cum_one").alias("slot"), "rx", "ry")
+        .select((F.col("cum_one") - 1).cast("long").alias("slot"), "rx", "ry")
     )
-    # spread replicates before hashing and sorting; the window reuses this partitioning
-    drawn = ranked.select(
-        "unit", "ry", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("replicate")
-    ).repartition("replicate")
-
-    lot = F.md5(F.concat_ws(":", F.lit(seed), "replicate", "unit").cast("binary"))
-    shuffled = drawn.withColumn(
-        "slot", F.row_number().over(Window.partitionBy("replicate").orderBy(lot, "unit"))
-    ).join(ranked.select("slot", "rx"), "slot")
-    products = shuffled.groupBy("replicate").agg(
-        F.sum(F.col("rx") * F.col("ry")).alias("sxy")
+    count = ranked.count()
+    lookup = ranked.select("slot", "rx")
+    tasks = ranked.sparkSession.sparkContext.defaultParallelism
+    replicates = F.sequence(F.lit(1).cast("long"), F.lit(permutations).cast("long"))
+    spread = ranked.select("slot", "ry").repartition(tasks, "slot")
+    drawn = shuffled_slot(spread.select("slot", "ry", F.explode(replicates).alias("replicate")), count, seed)
+    products = (
+        drawn.join(F.broadcast(lookup) if count <= SENT_UNITS else lookup, "slot")
+        .groupBy("replicate")
+        .agg(F.sum(F.col("rx") * F.col("ry")).alias("sxy"))
     )
     rx, ry = F.col("rx"), F.col("ry")
     observed = ranked.agg(

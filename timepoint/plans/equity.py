@@ -42,6 +42,11 @@ def _(t: Tables) -> DataFrame:
     return features.route_history_train_only(t.band_days, t.settings.train_dates)
 
 
+def _squared_sql(z: str) -> str:
+    """``statistics._squared`` as SQL."""
+    return f"(cast({z} as bigint) % 2147483647) * (cast({z} as bigint) % 2147483647) % 2147483647"
+
+
 _EQUITY_ROUTES = """select route_id, route_imd_decile as imd_decile, compliance_rate,
     mean_on_time, band_days from routes_rated join dim_route using (route_id)
     where route_imd_decile is not null and band_days >= 5"""
@@ -136,16 +141,35 @@ PERMUTATIONS = 10_000
 
 @query(
     "permutation_pvalue",
-    f"""with units as ({_EQUITY_ROUTES}),
+    f"""with recursive units as ({_EQUITY_ROUTES}),
         ranked as materialized (
-            select route_id, row_number() over (order by route_id) as slot,
-                   {_average_rank_sql('imd_decile')} as rx,
+            select route_id, row_number() over (order by route_id) - 1 as slot,
+                   count(*) over () as n, {_average_rank_sql('imd_decile')} as rx,
                    {_average_rank_sql('compliance_rate')} as ry from units),
+        sides as (
+            select n, a, (n + a - 1) // a as b
+            from (select any_value(n) as n from ranked),
+                 lateral (select unnest(range(greatest(2, (cast(round(sqrt(n)) as bigint) + 1) // 2),
+                                              2 * cast(round(sqrt(n)) as bigint) + 1)) as a)
+            order by a * ((n + a - 1) // a), a limit 1),
+        starts as (
+            select replicate, {_squared_sql(_squared_sql('(replicate * 1000003 + 11 * 7919 + 12345)').join(['(', ' + replicate)']))} as k
+            from range(1, {PERMUTATIONS + 1}) as r(replicate)),
+        steps(replicate, route_id, lft, rgt, j) as (
+            select replicate, route_id, slot // b, slot % b, 0
+            from ranked, sides, range(1, {PERMUTATIONS + 1}) as r(replicate)
+            union all
+            select s.replicate, route_id,
+                   case when j = {statistics.ROUNDS} then (lft * b + rgt) // b else rgt end,
+                   case when j = {statistics.ROUNDS} then rgt else
+                   (lft + ((((rgt + 1) * ({_squared_sql('(k + j * 362437)')}) + ({_squared_sql('(k + (j + 1) * 362437)')})) % 2147483647) >> 7))
+                       % (case when j % 2 = 0 then a else b end) end,
+                   case when j = {statistics.ROUNDS} then 0 else j + 1 end
+            from steps s, sides, starts
+            where starts.replicate = s.replicate and (j < {statistics.ROUNDS} or lft * b + rgt >= n)),
         drawn as (
-            select replicate, ry, row_number() over (
-                       partition by replicate
-                       order by md5('11:' || replicate || ':' || route_id), route_id) as slot
-            from ranked, range(1, {PERMUTATIONS + 1}) as r(replicate)),
+            select replicate, ry, lft * b + rgt as slot from steps join ranked using (route_id), sides
+            where j = {statistics.ROUNDS} and lft * b + rgt < sides.n),
         rhos as (
             select replicate, corr(b.rx, drawn.ry) as rho
             from drawn join ranked b using (slot) group by replicate),
