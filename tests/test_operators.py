@@ -153,6 +153,24 @@ def test_average_rank_matches_pandas(spark):
     assert [got[i] for i in range(500)] == expected[:500].tolist()
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.35, 0.9])
+def test_a_hot_value_is_ranked_in_many_partitions(spark, hot):
+    rng = np.random.default_rng(5)
+    values = np.where(rng.random(900) < hot, 7.0, rng.integers(-20, 20, 900) / 2.0).tolist()
+    df = spark.createDataFrame([(i, v, "x") for i, v in enumerate(values)], "i int, v double, _place string").drop("_place")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = ranking.average_rank(df.unionByName(df.limit(0)), "v")
+        got = {r["i"]: r["rank"] for r in ranked.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [got[i] for i in range(900)] == pd.Series(values).rank().tolist()
+    # rows are joined with one row per partition, never on their value
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert all("_part" in line for line in joins) and joins
+
+
 def test_running_totals_across_partitions(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 3).alias("k"), F.lit(1).alias("n")).repartition(9)
     got = ranking.running_totals(df, [F.col("id").desc()], ["n"], ["k"])
@@ -394,3 +412,30 @@ def test_empty_facts_give_zero_shares(spark):
     empty = spark.createDataFrame([], "compliant int, pct_on_time double")
     assert rows(reliability.compliance_share(empty)) == [(0, 0, 0.0)]
     assert rows(evaluation.majority_baseline(empty)) == [(0.0, 0)]
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_exact_quantiles_for_any_rounds(spark, rounds):
+    rng = np.random.default_rng(1)
+    tables = {
+        "wide": np.concatenate([rng.normal(0, 1, 700), rng.normal(0, 1, 300) * 1e300, [5e-324, -1e-300]]),
+        "hot": np.where(rng.random(1500) < 0.4, 2.5, rng.integers(0, 9, 1500) * 1.0),
+        "one": np.array([4.0]),
+        "two": np.array([1.0, 2.0]),
+    }
+    for values in tables.values():
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
+        for fraction in (0.0, 0.013, 0.5, 1.0):
+            got = profile.exact_quantile(df, "v", fraction, rounds=rounds).first()[0]
+            assert got == pytest.approx(np.quantile(values, fraction), rel=1e-12)
+            lower = profile.exact_quantile(df, "v", fraction, "lower", rounds=rounds).first()[0]
+            assert lower == np.quantile(values, fraction, method="lower")
+
+
+def test_quantile_of_nothing_and_of_whole_numbers(spark):
+    none = spark.createDataFrame([], "v double")
+    assert profile.exact_quantile(none, "v").first()[0] is None
+    whole = spark.range(10_001).select(F.col("id").alias("v"))
+    assert profile.exact_quantile(whole, "v", 0.3, "lower").first()[0] == 3000
+    # the rounds leave a handful of values to be sorted
+    assert profile._narrowed(whole.select(F.col("v").alias("x")), 0.5, 2).count() < 60

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from timepoint.functions.buckets import clip
 from timepoint.functions.timeofday import DAY_NAMES
-from timepoint.operators.ranking import running_totals
 from timepoint.settings import Settings
 
 
@@ -30,24 +29,112 @@ def approx_cardinality(df: DataFrame, columns: Sequence[str], rsd: float = 0.05)
     return df.agg(*(F.approx_count_distinct(c, rsd).alias(c) for c in columns))
 
 
-def exact_lower_median(df: DataFrame, column: str) -> DataFrame:
-    """One row (median) at any number of distinct values; NULL for no values.
+#: Splitting points of a narrowing round, accuracy of the sketch they come from, and rounds.
+SPLITS, ACCURACY, ROUNDS = 1_000, 20_000, 3
+
 
-    Values are counted, the counts are summed in range-sorted partitions, and the first
-    value whose running count reaches half is the median.
+def _narrowed(values: DataFrame, fraction: float, rounds: int) -> DataFrame:
+    """(x, n, below, total): the values that may stand at the fraction's ranks, counted.
+
+    ``below`` is the number of rows under the smallest of them. A round takes splitting points
+    of the values left, keeps the few between which the rank must lie (the sketch's error is
+    far below the margin), and counts exactly what lies under them.
     """
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("x"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    rank = F.lit(fraction) * (F.col("total") - 1)
+    points = [k / SPLITS for k in range(SPLITS + 1)]
+    span = values.agg(
+        F.min("x").alias("low"),
+        F.max("x").alias("high"),
+        F.lit(0).cast("long").alias("below"),
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("total"),
+    )
+    for _ in range(rounds):
+        within = span.select(F.struct("*")).scalar()
+        left = values.withColumn("_s", within).filter(F.col("x").between(F.col("_s.low"), F.col("_s.high")))
+        splits = F.percentile_approx("x", F.array(*map(F.lit, points)), ACCURACY)
+        under = F.floor((F.floor(rank) - F.col("below")) / F.col("n") * SPLITS) - 3
+        over = F.ceil((F.ceil(rank) + 1 - F.col("below")) / F.col("n") * SPLITS) + 3
+        closer = (
+            left.agg(splits.alias("splits"), F.first("_s").alias("_s"))
+            .select("splits", "_s.*")
+            .withColumns({"under": under.cast("int"), "over": over.cast("int")})
+            .select(
+                F.when(F.col("under") < 0, F.col("low")).otherwise(F.get("splits", "under")).alias("low"),
+                F.when(F.col("over") > SPLITS, F.col("high")).otherwise(F.get("splits", "over")).alias("high"),
+                "total",
+            )
+        )
+        bounds = closer.select(F.struct("low", "high", "total")).scalar()
+        span = (
+            values.withColumn("_b", bounds)
+            .agg(
+                F.first("_b").alias("_b"),
+                F.count_if(F.col("x") < F.col("_b.low")).alias("below"),
+                F.count_if(F.col("x").between(F.col("_b.low"), F.col("_b.high"))).alias("n"),
+            )
+            .select("_b.low", "_b.high", "below", "n", "_b.total")
+        )
+    within = span.select(F.struct("*")).scalar()
+    return (
+        values.withColumn("_s", within)
+        .filter(F.col("x").between(F.col("_s.low"), F.col("_s.high")))
+        .groupBy("x")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("_s.below").alias("below"), F.first("_s.total").alias("total"))
     )
-    ranked = running_totals(counts, [F.col("x")], ["n"])
-    whole = ranked.agg(F.max("cum_n").alias("n")).select("n").scalar()
-    return ranked.filter(2 * F.col("cum_n") >= whole).agg(F.min("x").alias("median"))
+
+
+def exact_quantile(df: DataFrame, column: str, fraction: float = 0.5, how: str = "linear", rounds: int = ROUNDS) -> DataFrame:
+    """One row (quantile): exact, interpolated (``linear``) or the ``lower`` value; NULL for none.
+
+    NULL and NaN are left out. Counting rounds narrow the range in which the rank lies to about
+    a hundred-millionth of the rows; only the different values of that rest are sorted. No job
+    runs while the plan is built. The plan reads ``df`` twice a round and once more, so hand in
+    one that is materialised where it is dear.
+    """
+    if not 0.0 <= fraction <= 1.0 or how not in ("linear", "lower"):
+        raise ValueError("fraction must be within 0 and 1, how linear or lower")
+    x = F.col(column)
+    plain = x.isNotNull() & ~F.isnan(x.cast("double"))
+    rest = _narrowed(df.filter(plain).select(x.alias("x")), fraction, rounds)
+    listed = rest.agg(
+        F.sort_array(F.collect_list(F.struct("x", "n"))).alias("v"),
+        F.first("below").alias("below"),
+        F.first("total").alias("total"),
+    )
+    rank = F.lit(fraction) * (F.col("total") - 1)
+
+    def at(place: Column) -> Column:
+        """The value of a rank: the first whose running count is beyond it."""
+        seen = F.struct(F.col("below").cast("long").alias("c"), F.lit(None).cast(df.select(x).schema[0].dataType).alias("x"))
+
+        def step(s: Column, e: Column) -> Column:
+            found = s["x"].isNotNull()
+            return F.struct(
+                (s["c"] + e["n"]).alias("c"),
+                F.when(found, s["x"]).when(s["c"] + e["n"] > place, e["x"]).alias("x"),
+            )
+
+        return F.aggregate("v", seen, step)["x"]
+
+    low, high = at(F.floor(rank)), at(F.ceil(rank))
+    if how == "lower":
+        return listed.select(low.alias("quantile"))
+    part = rank - F.floor(rank)
+    linear = (1 - part) * low.cast("double") + part * high.cast("double")
+    return listed.select(F.when(part == 0, low.cast("double")).otherwise(linear).alias("quantile"))
+
+
+def exact_lower_median(df: DataFrame, column: str) -> DataFrame:
+    """One row (median): the value half of the others are not below; NULL for no values."""
+    return exact_quantile(df, column, 0.5, "lower").withColumnRenamed("quantile", "median")
 
 
 def moments(df: DataFrame, column: str) -> DataFrame:
-    """Mean, exact lower median, sample sd, population skewness and excess kurtosis."""
+    """Mean, exact lower median, sample sd, population skewness and excess kurtosis.
+
+    The median reads ``df`` again (see :func:`exact_quantile`): hand in a table, not a chain.
+    """
     rest = df.agg(
         F.mean(column).alias("mean"),
         F.stddev_samp(column).alias("std"),

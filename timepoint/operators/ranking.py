@@ -57,11 +57,67 @@ def average_ranks(counts: DataFrame, value: str, keys: Sequence[str] = ()) -> Da
 
 
 def average_rank(df: DataFrame, column: str) -> DataFrame:
-    """Add ``rank`` to every row of ``df``; NULLs have no rank."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count(F.lit(1)).alias("n")
+    """Add ``rank`` to every row of ``df``; NULLs have no rank.
+
+    Rows are range-partitioned by the value and a number of their own, so a value that a third
+    of all rows have lies in many partitions, and pinned there. Each partition ranks its rows
+    in place; what the others hold comes from one row per partition: how many rows lie before
+    it, and how often its first and its last value, the only ones it may share, occur elsewhere.
+    """
+    value, part = F.col(column), "_part"
+    none = df.filter(value.isNull()).withColumn("rank", F.lit(None).cast("double"))
+    spread = (
+        df.filter(value.isNotNull())
+        .withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(value, "_row")
+        .drop("_row")
+    )
+    rows = checkpointed(spread).withColumn(part, F.spark_partition_id())
+    ranked = rows.withColumns(
+        {
+            "_place": F.rank().over(Window.partitionBy(part).orderBy(value)),
+            "_here": F.count(F.lit(1)).over(Window.partitionBy(part, column)),
+        }
+    )
+    parts = ranked.groupBy(part).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(value).alias("_low"),
+        F.max(value).alias("_high"),
+        F.min_by("_here", value).alias("_n_low"),
+        F.max_by("_here", value).alias("_n_high"),
+    )
+    ends = F.array(
+        F.struct(F.col("_low").alias("_end"), F.col("_n_low").alias("_times")),
+        F.struct(F.col("_high").alias("_end"), F.when(F.col("_low") < F.col("_high"), F.col("_n_high")).otherwise(0).alias("_times")),
+    )
+    shared = parts.select(part, F.inline(ends)).groupBy(part, "_end").agg(F.sum("_times").alias("_times"))
+    by_end = Window.partitionBy("_end")
+    earlier = by_end.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    known = shared.select(
+        part,
+        "_end",
+        F.sum("_times").over(by_end).alias("_whole"),
+        F.coalesce(F.sum("_times").over(earlier), F.lit(0)).alias("_earlier"),
+    )
+    low = known.select(part, F.col("_end").alias("_low"), F.col("_whole").alias("_whole_low"), "_earlier")
+    high = known.select(part, F.col("_end").alias("_high"), F.col("_whole").alias("_whole_high"))
+    before = Window.partitionBy(F.lit(0)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .join(low, [part, "_low"])
+        .join(high, [part, "_high"])
+        .select(part, "_low", "_high", "_before", "_whole_low", "_earlier", "_whole_high")
+    )
+    start = F.when(value == F.col("_low"), F.col("_before") - F.col("_earlier")).otherwise(
+        F.col("_before") + F.col("_place") - 1
+    )
+    times = (
+        F.when(value == F.col("_low"), F.col("_whole_low"))
+        .when(value == F.col("_high"), F.col("_whole_high"))
+        .otherwise(F.col("_here"))
     )
-    return df.join(average_ranks(counts, column).drop("n"), column, "left")
+    whole = ranked.join(offsets, part).withColumn("rank", start + (times + 1) / F.lit(2.0))
+    return whole.select(*df.columns, "rank").unionByName(none)
 
 
 def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:

@@ -9,6 +9,7 @@ from timepoint.operators import operation, profile, reports, warehouse
 from timepoint.plans.binding import Tables
 from timepoint.plans.equity import active_disruptions, dims
 from timepoint.plans.registry import query
+from timepoint.sources.storage import checkpointed
 from timepoint.plans.reliability import checked, ttv
 from timepoint.operators.equity import stops_per_route
 from timepoint.operators.features import feature_table
@@ -95,7 +96,7 @@ def _moments_sql(column: str, source: str) -> str:
     "moments", _moments_sql("median_delay", "trip_facts"), "mean median std skewness kurtosis"
 )
 def _(t: Tables) -> DataFrame:
-    return profile.moments(t.trip_facts, "median_delay")
+    return profile.moments(checkpointed(t.trip_facts.select("median_delay")), "median_delay")
 
 
 @query(
@@ -104,7 +105,9 @@ def _(t: Tables) -> DataFrame:
     "mean median std skewness kurtosis",
 )
 def _(t: Tables) -> DataFrame:
-    return profile.moments(t.sched_headways, "sched_headway_mean_min")
+    return profile.moments(
+        checkpointed(t.sched_headways.select("sched_headway_mean_min")), "sched_headway_mean_min"
+    )
 
 
 @query(
@@ -375,7 +378,7 @@ def _(t: Tables) -> DataFrame:
     "headway_regular_share ttv_ok_share median_ttv_cv",
 )
 def _(t: Tables) -> DataFrame:
-    return reports.ttv_headway_summary(ttv(t), t.obs_headways)
+    return reports.ttv_headway_summary(checkpointed(ttv(t).select("ttv_ok", "ttv_cv")), t.obs_headways)
 
 
 @query(
