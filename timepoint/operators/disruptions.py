@@ -59,15 +59,19 @@ def active_disruptions(
 ) -> DataFrame:
     """Distinct situations active per (route, date); ``latest`` has one row per situation.
 
-    Situations meet routes first and are reduced to distinct (situation, route) pairs, so
+    Notices that no study date falls into go first, then only stops that some notice names are
+    asked for their routes. Situations meet routes as distinct (situation, route) pairs, so
     dates multiply the small side only.
     """
-    notices = notice_dates(named_stops_with_start(latest)).select(
-        "situation_id", "wy_stop_refs", "v_start", "v_end"
+    first, last = F.lit(min(dates)), F.lit(max(dates))
+    notices = (
+        notice_dates(named_stops_with_start(latest))
+        .filter((F.col("v_start") <= last) & (F.col("v_end") >= first))
+        .select("situation_id", "wy_stop_refs", "v_start", "v_end")
     )
+    refs = explode_refs(notices).distinct()
     on_routes = (
-        explode_refs(notices)
-        .join(stop_routes, "stop_id")
+        refs.join(stop_routes, "stop_id")
         .select("situation_id", "route_id", "v_start", "v_end")
         .distinct()
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,100 +30,76 @@ def approx_cardinality(df: DataFrame, columns: Sequence[str], rsd: float = 0.05)
     return df.agg(*(F.approx_count_distinct(c, rsd).alias(c) for c in columns))
 
 
-#: Splitting points of a narrowing round, accuracy of the sketch they come from, and rounds.
-SPLITS, ACCURACY, ROUNDS = 1_000, 20_000, 3
+#: Splitting points of a narrowing round, accuracy of the sketch they come from, and the number
+#: of rows that needs no more rounds.
+SPLITS, ACCURACY, FEW = 1_000, 20_000, 100_000
 
 
-def _narrowed(values: DataFrame, fraction: float, rounds: int) -> DataFrame:
-    """(x, n, below, total): the values that may stand at the fraction's ranks, counted.
+def _narrowed(values: DataFrame, fraction: float, few: int) -> tuple[DataFrame, int, int]:
+    """The values that may stand at the fraction's ranks, how many rows lie under them, and all.
 
-    ``below`` is the number of rows under the smallest of them. A round takes splitting points
-    of the values left, keeps the few between which the rank must lie (the sketch's error is
-    far below the margin), and counts exactly what lies under them.
+    A round takes splitting points of the values left, keeps the few between which the ranks
+    must lie (the sketch's error is far below the margin), and counts exactly what lies under
+    them; the driver sees two values and two counts. It ends with few rows, or with few values
+    that many rows have.
     """
-    rank = F.lit(fraction) * (F.col("total") - 1)
-    points = [k / SPLITS for k in range(SPLITS + 1)]
-    span = values.agg(
-        F.min("x").alias("low"),
-        F.max("x").alias("high"),
-        F.lit(0).cast("long").alias("below"),
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    for _ in range(rounds):
-        within = span.select(F.struct("*")).scalar()
-        left = values.withColumn("_s", within).filter(F.col("x").between(F.col("_s.low"), F.col("_s.high")))
-        splits = F.percentile_approx("x", F.array(*map(F.lit, points)), ACCURACY)
-        under = F.floor((F.floor(rank) - F.col("below")) / F.col("n") * SPLITS) - 3
-        over = F.ceil((F.ceil(rank) + 1 - F.col("below")) / F.col("n") * SPLITS) + 3
-        closer = (
-            left.agg(splits.alias("splits"), F.first("_s").alias("_s"))
-            .select("splits", "_s.*")
-            .withColumns({"under": under.cast("int"), "over": over.cast("int")})
-            .select(
-                F.when(F.col("under") < 0, F.col("low")).otherwise(F.get("splits", "under")).alias("low"),
-                F.when(F.col("over") > SPLITS, F.col("high")).otherwise(F.get("splits", "over")).alias("high"),
-                "total",
-            )
-        )
-        bounds = closer.select(F.struct("low", "high", "total")).scalar()
-        span = (
-            values.withColumn("_b", bounds)
-            .agg(
-                F.first("_b").alias("_b"),
-                F.count_if(F.col("x") < F.col("_b.low")).alias("below"),
-                F.count_if(F.col("x").between(F.col("_b.low"), F.col("_b.high"))).alias("n"),
-            )
-            .select("_b.low", "_b.high", "below", "n", "_b.total")
-        )
-    within = span.select(F.struct("*")).scalar()
-    return (
-        values.withColumn("_s", within)
-        .filter(F.col("x").between(F.col("_s.low"), F.col("_s.high")))
-        .groupBy("x")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("_s.below").alias("below"), F.first("_s.total").alias("total"))
-    )
-
-
-def exact_quantile(df: DataFrame, column: str, fraction: float = 0.5, how: str = "linear", rounds: int = ROUNDS) -> DataFrame:
+    x = F.col("x")
+    points = F.array(*(F.lit(k / SPLITS) for k in range(SPLITS + 1)))
+    kind = values.schema["x"].dataType
+    n = total = values.count()
+    below, left = 0, values
+    rank = fraction * max(total - 1, 0)
+    while n > few:
+        splits, low, high = left.agg(F.percentile_approx("x", points, ACCURACY), F.min("x"), F.max("x")).first()
+        under = math.floor((math.floor(rank) - below) / n * SPLITS) - 3
+        over = math.ceil((math.ceil(rank) + 1 - below) / n * SPLITS) + 3
+        new_low = splits[under] if under >= 0 else low
+        new_high = splits[over] if over <= SPLITS else high
+        if (new_low, new_high) == (low, high):
+            break
+        ends = F.lit(new_low).cast(kind), F.lit(new_high).cast(kind)
+        here, under_it = left.agg(F.count_if(x.between(*ends)), F.count_if(x < ends[0])).first()
+        left, n, below = left.filter(x.between(*ends)), here, below + under_it
+    return left, below, total
+
+
+def exact_quantile(
+    df: DataFrame, column: str, fraction: float = 0.5, how: str = "linear", few: int = FEW
+) -> DataFrame:
     """One row (quantile): exact, interpolated (``linear``) or the ``lower`` value; NULL for none.
 
-    NULL and NaN are left out. Counting rounds narrow the range in which the rank lies to about
-    a hundred-millionth of the rows; only the different values of that rest are sorted. No job
-    runs while the plan is built. The plan reads ``df`` twice a round and once more, so hand in
-    one that is materialised where it is dear.
+    NULL and NaN are left out. Counting rounds narrow the range in which the rank lies until at
+    most ``few`` rows or one crowded stretch of equal values is left; of those the different
+    values are counted and sorted. Each round reads ``df`` twice, at the call, so hand in a table
+    or a materialised result; up to ``few`` rows are read twice in all.
     """
     if not 0.0 <= fraction <= 1.0 or how not in ("linear", "lower"):
         raise ValueError("fraction must be within 0 and 1, how linear or lower")
     x = F.col(column)
     plain = x.isNotNull() & ~F.isnan(x.cast("double"))
-    rest = _narrowed(df.filter(plain).select(x.alias("x")), fraction, rounds)
-    listed = rest.agg(
-        F.sort_array(F.collect_list(F.struct("x", "n"))).alias("v"),
-        F.first("below").alias("below"),
-        F.first("total").alias("total"),
-    )
-    rank = F.lit(fraction) * (F.col("total") - 1)
+    rest, below, total = _narrowed(df.filter(plain).select(x.alias("x")), fraction, few)
+    rank = fraction * max(total - 1, 0)
+    counts = rest.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    listed = counts.agg(F.sort_array(F.collect_list(F.struct("x", "n"))).alias("v"))
 
-    def at(place: Column) -> Column:
+    def at(place: int) -> Column:
         """The value of a rank: the first whose running count is beyond it."""
-        seen = F.struct(F.col("below").cast("long").alias("c"), F.lit(None).cast(df.select(x).schema[0].dataType).alias("x"))
+        seen = F.struct(F.lit(below).cast("long").alias("c"), F.lit(None).cast(rest.schema["x"].dataType).alias("x"))
 
         def step(s: Column, e: Column) -> Column:
-            found = s["x"].isNotNull()
-            return F.struct(
-                (s["c"] + e["n"]).alias("c"),
-                F.when(found, s["x"]).when(s["c"] + e["n"] > place, e["x"]).alias("x"),
-            )
+            found = F.when(s["c"] + e["n"] > place, e["x"])
+            return F.struct((s["c"] + e["n"]).alias("c"), F.coalesce(s["x"], found).alias("x"))
 
         return F.aggregate("v", seen, step)["x"]
 
-    low, high = at(F.floor(rank)), at(F.ceil(rank))
+    low, high = at(math.floor(rank)), at(math.ceil(rank))
     if how == "lower":
         return listed.select(low.alias("quantile"))
-    part = rank - F.floor(rank)
-    linear = (1 - part) * low.cast("double") + part * high.cast("double")
-    return listed.select(F.when(part == 0, low.cast("double")).otherwise(linear).alias("quantile"))
+    part = rank - math.floor(rank)
+    if part == 0:
+        return listed.select(low.cast("double").alias("quantile"))
+    linear = F.lit(1 - part) * low.cast("double") + F.lit(part) * high.cast("double")
+    return listed.select(linear.alias("quantile"))
 
 
 def exact_lower_median(df: DataFrame, column: str) -> DataFrame:
@@ -283,33 +260,70 @@ def class_balance(rows: DataFrame, label: str = "compliant") -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations in long form, one pass over the rows.
 
-    Every pair is one running correlation of a single aggregate, so a task hands on one row;
-    that row is then listed. A constant column has no correlation (NULL).
+    Rows are summed per pattern of NULLs: a pair's complete rows are those of the patterns that
+    have both, so plain sums of values and products, at most one small row per pattern, hold
+    every pair. Values are taken relative to their column's middle, which keeps sums of squares
+    from cancelling. A constant column has no correlation (NULL).
     """
     names = list(columns)
+    k = len(names)
+    if k > 62:
+        raise ValueError("a pattern of NULLs has room for 62 columns")
     values = df.select(*(F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)))
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-
-    def pearson(i: int, j: int) -> Column:
-        a, b = F.col(f"c{i}"), F.col(f"c{j}")
-        x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-        # a constant column leaves only rounding noise in its variance
-        varies = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
-        if i == j:
-            return F.when(F.max(a) > F.min(a), F.lit(1.0))
-        return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
-
-    one = values.agg(*(pearson(i, j).alias(f"r{i}_{j}") for i, j in pairs))
-    listed = [
-        F.struct(
-            F.lit(names[a]).alias("a"),
-            F.lit(names[b]).alias("b"),
-            F.col(f"r{i}_{j}").alias("correlation"),
+    ends = values.agg(F.array(*((F.min(f"c{i}") + F.max(f"c{i}")) / 2 for i in range(k)))).scalar()
+    pattern = sum((F.when(F.col(f"c{i}").isNotNull(), F.lit(1 << i)).otherwise(0) for i in range(k)), F.lit(0).cast("long"))
+    moved = values.withColumn("_m", ends).select(
+        pattern.alias("pattern"),
+        *(F.coalesce(F.col(f"c{i}") - F.get("_m", F.lit(i)), F.lit(0.0)).alias(f"c{i}") for i in range(k)),
+    )
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = moved.groupBy("pattern").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*(F.sum(f"c{i}") for i in range(k))).alias("s"),
+        F.array(*(F.min(f"c{i}") for i in range(k))).alias("low"),
+        F.array(*(F.max(f"c{i}") for i in range(k))).alias("high"),
+        F.array(*(F.sum(F.col(f"c{i}") * F.col(f"c{j}")) for i, j in pairs)).alias("p"),
+    )
+    place = {pair: at for at, pair in enumerate(pairs)}
+    listed = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("i"),
+                F.lit(j).alias("j"),
+                F.col("s")[i].alias("x"),
+                F.col("s")[j].alias("y"),
+                F.col("p")[place[i, j]].alias("xy"),
+                F.col("p")[place[i, i]].alias("xx"),
+                F.col("p")[place[j, j]].alias("yy"),
+                *(F.col(end)[c].alias(f"{end}_{side}") for end in ("low", "high") for side, c in (("x", i), ("y", j))),
+            )
+            for i, j in pairs
         )
-        for i, j in pairs
-        for a, b in dict.fromkeys([(i, j), (j, i)])
-    ]
-    return one.select(F.inline(F.array(*listed)))
+    )
+    both = F.expr("shiftleft(1L, i) | shiftleft(1L, j)")
+    rows = sums.select("pattern", "n", F.inline(listed)).withColumn(
+        "complete", F.col("pattern").bitwiseAND(both) == both
+    )
+
+    def part(how: Callable[[Column], Column], column: str) -> Column:
+        return how(F.when(F.col("complete"), F.col(column))).alias(column)
+
+    whole = rows.groupBy("i", "j").agg(
+        *(part(F.sum, c) for c in ("n", "x", "y", "xy", "xx", "yy")),
+        *(part(F.min, c) for c in ("low_x", "low_y")),
+        *(part(F.max, c) for c in ("high_x", "high_y")),
+    )
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    spread = F.sqrt((F.col("xx") - x * x / n) * (F.col("yy") - y * y / n))
+    # a constant column leaves only rounding noise in its variance
+    varies = (F.col("high_x") > F.col("low_x")) & (F.col("high_y") > F.col("low_y"))
+    same = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.try_divide(F.col("xy") - x * y / n, spread))
+    named = F.array(*map(F.lit, names))
+    sides = F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")), F.struct(F.col("j").alias("a"), F.col("i").alias("b")))
+    return (
+        whole.select(F.when(varies, same).alias("correlation"), F.explode(F.array_distinct(sides)).alias("s"))
+        .select(F.get(named, F.col("s.a")).alias("a"), F.get(named, F.col("s.b")).alias("b"), "correlation")
+    )
 
 
 def box_stats(

@@ -321,8 +321,12 @@ class Tables:
             tag("Consequences", tag("Consequence", tag("Affects", affects))),
             F.lit("</PtSituationElement>"),
         )
+        # documents are dear to decode and events are narrow: dealt over the session's partitions
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return (
             self.raw("events")
+            .select("event_id", "event_type", "user_id", "ts")
+            .repartition(tasks, "event_id")
             .select(
                 body.alias("element"),
                 F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"),
