@@ -70,7 +70,7 @@ def strictly_inside(x: Column, y: Column, edges: Column) -> Column:
 
 
 #: Cells that an area may cover beyond one per edge, and how much wider a level's cells are.
-FEW_CELLS, WIDER = 256, 4
+FEW_CELLS, WIDER = 4, 4
 #: Degrees by which cells overlap their neighbours, far above any rounding of coordinates.
 MARGIN = 1e-9
 _EDGE = ("ax", "ay", "bx", "by")
@@ -100,30 +100,23 @@ def _touches(e: Column, x: Column, y: Column) -> Column:
     )
 
 
-def typical_width(areas: DataFrame) -> Column:
-    """Average extent of the areas with an extent, as a scalar; the finest cells are as wide."""
-    size = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"))
-    return areas.agg(F.coalesce(F.greatest(F.avg(size), F.lit(1e-6)), F.lit(1.0))).scalar()
-
-
 def _sized(areas: DataFrame, key: str) -> DataFrame:
-    """Every area's edges and the level it is cut at."""
-    boxed = with_extent(areas)
-    edges = polygon_edges(F.col("rings"))
+    """Every area's edges, extent and the level it is cut at."""
     across, up = F.col("east") - F.col("west"), F.col("north") - F.col("south")
     allowed = F.size("edges") + FEW_CELLS
     # at this width there are as many cells as allowed, along both axes and along one of them
-    wanted = F.greatest(F.sqrt(across * up / allowed), F.greatest(across, up) / allowed)
-    steps = F.ceil(F.log(F.greatest(wanted, F.lit(1e-300)) / F.col("finest")) / F.log(F.lit(float(WIDER))))
+    wanted = F.greatest(F.sqrt(across * up / allowed), F.greatest(across, up) / allowed, F.lit(1e-6))
+    level = F.ceil(F.log(wanted) / F.log(F.lit(float(WIDER)))).cast("int")
     return (
-        boxed.withColumn("finest", typical_width(boxed))
-        .withColumn("edges", edges)
-        .withColumn("level", F.greatest(steps, F.lit(0)).cast("int"))
-        .withColumn("width", F.col("finest") * F.pow(F.lit(float(WIDER)), F.col("level")))
+        with_extent(areas)
+        .withColumn("edges", polygon_edges(F.col("rings")))
         .filter(F.size("edges") > 0)
+        .withColumn("level", level)
+        .withColumn("width", F.pow(F.lit(float(WIDER)), F.col("level")))
         .select(key, "level", "width", "west", "east", "south", "north", "edges")
     )
 
+
 def polygon_cover(areas: DataFrame, key: str = "lsoa_code") -> DataFrame:
     """Grid cells of every area, each with the edges near it and what lies beyond them.
 
@@ -135,8 +128,9 @@ def polygon_cover(areas: DataFrame, key: str = "lsoa_code") -> DataFrame:
     and of what lies east of it only the ends count (see :func:`inside_cell`).
 
     Cells of a level are ``WIDER`` times as wide as those of the one below. An area takes the
-    finest level at which it covers no more cells than its edges and ``FEW_CELLS``, so the
-    cover is as large as the areas are, also when one of them is a continent. Rings are closed.
+    finest level at which it covers about as many cells as it has edges and ``FEW_CELLS``, so
+    the cover is as large as the areas are, also when one of them is a continent. Rings are
+    closed.
     """
     sized = _sized(areas, key)
     low_x, high_x = F.least("ax", "bx"), F.greatest("ax", "bx")
