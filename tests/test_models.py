@@ -56,3 +56,48 @@ def test_train_score_and_interpret(spark, features, tmp_path):
     importances = models.tree_importances(fitted, train)
     assert importances.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
     assert models.top_features(importances, 5).count() == 5
+
+
+def test_fits_share_encoders_and_boosting_rounds(spark):
+    """Areas are those of Spark's own cross-validation, from fewer fits."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    days, bands = ("Monday", "Sunday"), ("am_peak", "evening")
+    made = [
+        (*(float((i * (7 + k)) % (5 + k)) for k in range(len(NUMERIC))), days[i % 2], bands[i % 3 % 2], int((i * i) % 7 < 3))
+        for i in range(300)
+    ]
+    train = models.in_tasks(spark.createDataFrame(made, [*NUMERIC, "day_of_week", "time_band", LABEL]).repartition(6))
+    assert train.rdd.getNumPartitions() == 1  # few rows are one task, whatever they came in
+
+    class Counted(GBTClassifier):
+        fits = 0
+
+        def fit(self, dataset, params=None):
+            Counted.fits += 1
+            return super().fit(dataset, params)
+
+    tree = Counted(seed=models.SEED, labelCol=LABEL, featuresCol="features")
+    grid = {"maxIter": (2, 4), "maxDepth": (1, 2)}
+    candidate = models.Candidate("gbt", tree, grid, boosted="maxIter")
+    found = models.cross_validate(train, candidate, folds=2)
+    assert Counted.fits == 2 * 2 + 1  # a fit per fold and depth, and the chosen one
+    plain = CrossValidator(
+        estimator=candidate.pipeline(), estimatorParamMaps=candidate.param_maps(), numFolds=2, seed=models.SEED,
+        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
+    ).fit(train)
+    assert found.auc_by_setting == pytest.approx(tuple(plain.avgMetrics), abs=1e-9)
+    assert found.model.stages[-1].getNumTrees == plain.bestModel.stages[-1].getNumTrees
+
+
+def test_slot_names_need_no_search(spark, tables, monkeypatch):
+    from timepoint.plans import QUERIES
+
+    def none(*_, **__):
+        raise AssertionError("a model was searched")
+
+    monkeypatch.setattr(models, "cross_validate", none)
+    names = [r.feature for r in QUERIES["feature_names"](spark, tables.sf_dir).orderBy("slot").collect()]
+    assert names[: len(NUMERIC)] == list(NUMERIC) and len(names) > len(NUMERIC)

@@ -11,7 +11,6 @@ from timepoint.operators import evaluation, features, models
 from timepoint.plans.binding import Tables
 from timepoint.plans.registry import query
 from timepoint.plans.report import feature_rows
-from timepoint.sources.storage import checkpointed
 
 _FEATURE_DOUBLES = (
     "pct_on_time mean_trip_delay sd_trip_delay precip_mm temp_c wind_kph "
@@ -208,36 +207,42 @@ def _(t: Tables) -> DataFrame:
 # ------------------------------------------------------------------ MLlib (rows only)
 
 
-_searched: dict[tuple[str, str], tuple[list[models.Trained], DataFrame, DataFrame]] = {}
+_rows: dict[tuple[str, str], DataFrame] = {}
+_searched: dict[tuple[str, str, str], models.Trained] = {}
 
 
-def _models(t: Tables) -> tuple[list[models.Trained], DataFrame, DataFrame]:
-    """All candidates searched on the training days, once per session and folder.
-
-    Returns them with the training and the held-out rows.
-    """
+def _split(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The training and the held-out rows, prepared once per session and folder."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _searched:
-        rows = checkpointed(models.prepared(feature_rows(t)))
-        train, test = rows.filter("is_train = 1"), rows.filter("is_train = 0")
-        _searched[key] = (
-            [models.cross_validate(train, c) for c in models.classifiers()],
-            train,
-            test,
-        )
-    return _searched[key]
+    if key not in _rows:
+        _rows[key] = models.in_tasks(models.prepared(feature_rows(t)))
+    return _rows[key].filter("is_train = 1"), _rows[key].filter("is_train = 0")
+
+
+def _models(t: Tables, *names: str) -> list[models.Trained]:
+    """The named candidates (all, if none), each searched once per session and folder."""
+    train, _ = _split(t)
+    found = []
+    for candidate in models.classifiers():
+        if names and candidate.name not in names:
+            continue
+        key = (t.spark.sparkContext.applicationId, t.sf_dir, candidate.name)
+        if key not in _searched:
+            _searched[key] = models.cross_validate(train, candidate)
+        found.append(_searched[key])
+    return found
 
 
 @query("cross_validate")
 def _(t: Tables) -> DataFrame:
-    searched, _, _ = _models(t)
+    searched = _models(t)
     rows = [(m.name, i, float(auc)) for m in searched for i, auc in enumerate(m.auc_by_setting)]
     return t.spark.createDataFrame(rows, "model string, setting int, mean_auc double")
 
 
 def _holdout(t: Tables) -> DataFrame:
-    searched, _, test = _models(t)
-    scored = [models.score_holdout(m, test) for m in searched]
+    _, test = _split(t)
+    scored = [models.score_holdout(m, test) for m in _models(t)]
     return reduce(DataFrame.unionByName, scored)
 
 
@@ -248,27 +253,27 @@ def _(t: Tables) -> DataFrame:
 
 @query("f1_per_second")
 def _(t: Tables) -> DataFrame:
-    searched, _, _ = _models(t)
     return evaluation.f1_per_second(
-        evaluation.model_comparison(_holdout(t)), models.train_times(t.spark, searched)
+        evaluation.model_comparison(_holdout(t)), models.train_times(t.spark, _models(t))
     ).select("model", "train_seconds", "f1", "f1_per_sec")
 
 
 @query("feature_names")
 def _(t: Tables) -> DataFrame:
-    searched, train, _ = _models(t)
-    names = models.feature_names(searched[-1].model.transform(train))
+    train, _ = _split(t)
+    names = models.feature_names(models.encoded(train, models.classifiers()[-1]))
     return t.spark.createDataFrame(list(enumerate(names)), "slot int, feature string")
 
 
 @query("lr_coefficients")
 def _(t: Tables) -> DataFrame:
-    searched, train, _ = _models(t)
-    return models.lr_coefficients(searched[0], train)
+    train, _ = _split(t)
+    return models.lr_coefficients(_models(t, "logistic_regression")[0], train)
 
 
 @query("tree_importances")
 def _(t: Tables) -> DataFrame:
-    searched, train, _ = _models(t)
-    ranked = [models.top_features(models.tree_importances(m, train)) for m in searched[1:]]
+    train, _ = _split(t)
+    searched = _models(t, "random_forest", "gbt")
+    ranked = [models.top_features(models.tree_importances(m, train)) for m in searched]
     return reduce(DataFrame.unionByName, ranked)
