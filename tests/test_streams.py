@@ -232,3 +232,25 @@ def test_latest_situations_over_many_batches(spark, tables, tmp_path):
     keys = ("situation_id", "fetched_at", "snapshot_id")
     assert sorted(got.select(*keys).collect()) == sorted(tables.situations_latest.select(*keys).collect())
     assert len(done) == 4
+
+
+@pytest.mark.parametrize("name", ["upsert_batches", "stream_situations"])
+def test_notices_are_decoded_once(spark, tables, monkeypatch, name):
+    from pyspark.sql.types import StringType
+
+    from timepoint.plans import QUERIES
+    from timepoint.plans.binding import Tables
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    notices = tables.situation_snapshots.limit(60).cache()
+    n = notices.count()
+    passed = F.udf(counted, StringType()).asNondeterministic()
+    monkeypatch.setattr(Tables, "situation_snapshots", notices.withColumn("summary", passed("summary")))
+    QUERIES[name](spark, tables.sf_dir).collect()
+    assert n > 0 and seen.value == n
+    notices.unpersist()

@@ -157,6 +157,14 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+def _landed_notices(t: Tables, sets: int) -> DataFrame:
+    """The notices, decoded once and landed in sets by their snapshot; ``arrival`` numbers the set."""
+    notices = t.situation_snapshots.withColumn("arrival", F.col("snapshot_id") % sets)
+    folder = positions.new_folder(t.spark, "notices")
+    notices.write.partitionBy("arrival").parquet(folder)
+    return t.spark.read.schema(notices.schema).parquet(folder)
+
+
 #: Batches of the upsert query, and buckets of keys of the tables it and the notices write here.
 _UPSERTS, _BUCKETS = 10, 16
 
@@ -176,12 +184,12 @@ _UPSERTS, _BUCKETS = 10, 16
 )
 def _(t: Tables) -> DataFrame:
     table = Parts(t.spark, positions.new_folder(t.spark, "latest"))
-    notices = t.situation_snapshots
+    notices = _landed_notices(t, _UPSERTS)
     written = []
     for batch in range(_UPSERTS):
-        arriving = notices.filter(F.col("snapshot_id") % _UPSERTS == batch)
+        arriving = notices.filter(F.col("arrival") == batch).drop("arrival")
         report = upsert_batch(table, arriving, batch, ["situation_id"], latest_situation, _BUCKETS)
-        rows = table.read([f"{table.path}/rows={batch:09d}"], notices.schema) if report["buckets_touched"] else arriving
+        rows = table.read([f"{table.path}/rows={batch:09d}"], arriving.schema) if report["buckets_touched"] else arriving
         counted = rows.agg(
             F.lit(batch).alias("batch"),
             F.count_distinct(bucket_of(["situation_id"], _BUCKETS)).alias("buckets_touched"),
@@ -222,8 +230,9 @@ def _(t: Tables) -> DataFrame:
     landed = positions.new_folder(t.spark, "landed")
     # three fetches, each its own set of files, consumed a set per micro-batch
     files = t.spark.sparkContext.defaultParallelism
+    notices = _landed_notices(t, 3)
     for third in range(3):
-        fetched = t.situation_snapshots.filter(F.col("snapshot_id") % 3 == third)
+        fetched = notices.filter(F.col("arrival") == third).drop("arrival")
         fetched.repartition(files).write.mode("append").parquet(landed)
     snapshots = (
         t.spark.readStream.schema(t.situation_snapshots.schema)
