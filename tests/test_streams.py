@@ -254,3 +254,59 @@ def test_notices_are_decoded_once(spark, tables, monkeypatch, name):
     QUERIES[name](spark, tables.sf_dir).collect()
     assert n > 0 and seen.value == n
     notices.unpersist()
+
+
+def test_dedup_writes_state_only_where_it_changes(spark):
+    from pyspark.sql import Row
+    from pyspark.sql import types as T
+
+    class State:
+        def __init__(self):
+            self.held, self.writes = [], 0
+
+        def exists(self):
+            return bool(self.held)
+
+        def get(self):
+            return self.held
+
+        def put(self, rows):
+            self.held, self.writes = rows, self.writes + 1
+
+        update = put
+
+        def clear(self):
+            self.put([])
+
+    best, clock = State(), State()
+
+    class Handle:
+        def getListState(self, *_):  # noqa: N802
+            return best
+
+        def getValueState(self, *_):  # noqa: N802
+            return clock
+
+    kind = T.StructType.fromDDL(PINGS)
+    one = positions.BestReports(kind, DAY)
+    one.init(Handle())
+    report = Row(*kind.fieldNames())
+    first = report("V1", "T1", "R1", 53.8, -1.5, None, EPOCH, dt.date(2024, 1, 1), 7)
+    assert [r.late for r in one.handleInputRows(("V1", 0), iter([first, first]), None)] == [False]
+    assert (best.writes, clock.writes) == (1, 1)
+    assert list(one.handleInputRows(("V1", 0), iter([first]), None)) == []
+    assert (best.writes, clock.writes) == (1, 1)
+    late = report("V1", "T1", "R1", 53.8, -1.5, None, EPOCH - 2 * DAY, dt.date(2024, 1, 1), 7)
+    assert [r.late for r in one.handleInputRows(("V1", 0), iter([late]), None)] == [True]
+    assert (best.writes, clock.writes) == (1, 1)
+
+
+def test_dedup_takes_reports_without_a_time(spark, tmp_path):
+    rows = some_pings(11, 40) + [("V1", "T1", "R1", 1.0, 2.0, None, None, None, None)] * 2
+    rows += [("V1", None, "R0", 1.0, 2.0, None, None, None, 3)]
+    folder, table, progress = (new(tmp_path, x) for x in ("in", "out", "progress"))
+    land(spark, rows, PINGS, folder, 2)
+    positions.run_dedup(stream_of(spark, PINGS, folder), table, progress)
+    schema = spark.createDataFrame([], PINGS).schema
+    got = positions.deduped_pings(spark, table, schema)
+    assert plain(got) == plain(dedup_pings(spark.createDataFrame(rows, PINGS)))
