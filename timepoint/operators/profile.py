@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from timepoint.functions.buckets import clip
 from timepoint.functions.timeofday import DAY_NAMES
 from timepoint.settings import Settings
+from timepoint.sources.storage import checkpointed
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -205,12 +206,13 @@ def histogram(
 ) -> DataFrame:
     """Equal-width counts over the (clipped) data range; the last bin is closed.
 
-    Equal values are counted first; range and bins run on the counts. Empty bins are kept.
+    Equal values are counted once and the counts pinned; range and bins run on them. Empty
+    bins are kept.
     """
     value = F.col(column).cast("double")
     if clip_to is not None:
         value = clip(value, *clip_to)
-    values = (
+    values = checkpointed(
         df.select(value.alias("x"))
         .filter(F.col("x").isNotNull())
         .groupBy("x")
