@@ -37,3 +37,32 @@ def test_query_equals_sql(spark, con, name):
     got = oracle.spark_table(QUERIES[name](spark, SMALL))
     assert oracle.difference(got, oracle.sql_table(con, CHECKS[name])) is None
     assert got[1], "no rows to compare"
+
+
+@pytest.mark.parametrize(
+    ("name", "table", "column"),
+    [
+        ("histogram", "delays", "delay_min"),
+        ("overview_kpis", "delays", "delay_min"),
+        ("ttv_headway_summary", "delays", "inferred_sec"),
+        ("fk_violations", "situations_latest", "situation_id"),
+    ],
+)
+def test_costly_tables_are_computed_once(spark, tables, monkeypatch, name, table, column):
+    from pyspark.sql import functions as F
+
+    from timepoint.plans.binding import Tables
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        seen.add(1)
+        return value
+
+    rows = getattr(tables, table).cache()
+    n, kind = rows.count(), rows.schema[column].dataType
+    passed = F.udf(counted, kind).asNondeterministic()
+    monkeypatch.setattr(Tables, table, rows.withColumn(column, passed(column)))
+    QUERIES[name](spark, tables.sf_dir).collect()
+    assert n > 0 and seen.value == n
+    rows.unpersist()

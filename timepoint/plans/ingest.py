@@ -365,6 +365,7 @@ def _(t: Tables) -> DataFrame:
        where stop_id not in (select stop_id from dim_stop)""",
 )
 def _(t: Tables) -> DataFrame:
+    t.pin("trip_facts", "situations_latest", "stop_areas")
     return warehouse.fk_violations(warehouse_tables(t))
 
 

@@ -361,6 +361,7 @@ def _(t: Tables) -> DataFrame:
     "compliant_share trips_on_time_share headway_regular_share ttv_ok_share avl_floor",
 )
 def _(t: Tables) -> DataFrame:
+    t.pin("delays")
     return reports.overview_kpis(
         t.band_days,
         t.trip_facts,
@@ -378,6 +379,7 @@ def _(t: Tables) -> DataFrame:
     "headway_regular_share ttv_ok_share median_ttv_cv",
 )
 def _(t: Tables) -> DataFrame:
+    t.pin("delays")
     return reports.ttv_headway_summary(checkpointed(ttv(t).select("ttv_ok", "ttv_cv")), t.obs_headways)
 
 
