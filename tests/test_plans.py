@@ -53,3 +53,9 @@ def test_notices_read_every_event(spark, tables):
 def test_registry_is_consistent():
     assert set(CHECKS) <= set(QUERIES)
     assert len(QUERIES) - len(CHECKS) < 12
+
+
+def test_notices_are_decoded_once_behind_their_exchange(spark):
+    text = plan(QUERIES["split_explode"](spark, SMALL))
+    assert text.count("from_xml(") == 1
+    assert text.index("from_xml(") < text.index("Exchange")  # the tree's leaves come last
