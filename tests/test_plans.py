@@ -59,3 +59,8 @@ def test_notices_are_decoded_once_behind_their_exchange(spark):
     text = plan(QUERIES["split_explode"](spark, SMALL))
     assert text.count("from_xml(") == 1
     assert text.index("from_xml(") < text.index("Exchange")  # the tree's leaves come last
+
+
+def test_reports_are_exchanged_before_they_are_counted(spark, tables):
+    text = plan(QUERIES["parse_quality_by_day"](spark, SMALL))
+    assert re.search(r"hashpartitioning\(service_date#\d+, vehicle_id#\d+, ts#\d+L?, \d+\), REPARTITION_BY_NUM", text)

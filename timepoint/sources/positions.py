@@ -209,10 +209,16 @@ def quality_of_reports(reports: DataFrame) -> DataFrame:
 def parse_quality_by_day(pings: DataFrame, box: Box, snapshots: DataFrame | None = None) -> DataFrame:
     """Per service date: snapshots read, pings, duplicates, out-of-box and trip shares.
 
-    Repeats are counted per (date, vehicle, time) first, a map-side combinable aggregate,
-    so a day with most of the pings is not gathered anywhere.
+    Repeats are counted per (date, vehicle, time) first, so a day with most of the pings is not
+    gathered anywhere. Most reports are seen once: counting them before the exchange would hold
+    all reports of an input split in one task's memory and make few rows of it, so they are
+    exchanged first, into the session's number of parts, which are not made fewer again.
     """
-    quality = quality_of_reports(report_counts(pings, box))
+    parts = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    apart = pings.select("service_date", "vehicle_id", "ts", "lat", "lon", "trip_id").repartition(
+        parts, "service_date", "vehicle_id", "ts"
+    )
+    quality = quality_of_reports(report_counts(apart, box))
     if snapshots is None:
         return quality
     files = snapshots.groupBy("service_date").agg(
