@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from llm_fixtures import edge_docs, edge_texts, linked_components, make_docs, no_docs, shingles, story, words  # noqa: F401
 
-from timepoint.llm import near_dedup, substring_dedup
+from timepoint.llm import common, near_dedup, substring_dedup
 from timepoint.llm.components import components
 
 
@@ -276,3 +276,22 @@ def test_edited_passages_share_a_pair_of_minima():
         keys = [substring_dedup.pair_keys(x, 46, substring_dedup.FUNCTIONS)[0] for x in (one, two)]
         met += len(np.intersect1d(*keys)) > 0
     assert met >= 0.95 * 300
+
+
+def test_windows_are_computed_once(make_docs, with_passages, monkeypatch):
+    calls, windows = [], substring_dedup._windows
+    monkeypatch.setattr(substring_dedup, "_windows", lambda *a: calls.append(a) or windows(*a))
+    t = substring_dedup.PASSAGE_WORDS - substring_dedup.SHINGLE + 1
+    pairs = substring_dedup._candidates(make_docs(with_passages), t, substring_dedup.FUNCTIONS)
+    assert len(calls) == 1
+    assert {(r.leader, r.doc) for r in pairs.collect()} >= {(1, 2), (1, 3)}
+
+
+def test_durable_rows_leave_no_shuffled_files(spark, make_docs):
+    before = spark.conf.get(common._CLEANUP, "false")
+    docs = make_docs([story(f"d{i}", 20) for i in range(8)])
+    frame = docs.groupBy("doc_id").count()
+    kept = common.durable(frame)
+    assert kept.count() == 8 and kept.groupBy("count").count().count() == 1  # read again, also in a shuffle
+    assert frame.count() == 8  # the frame itself is as it was
+    assert spark.conf.get(common._CLEANUP, "false") == before
