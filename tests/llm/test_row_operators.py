@@ -356,3 +356,15 @@ def test_thresholds_are_ordered():
     tails = [model.tails(*rows[[r[2] for r in rows].index(y)][:2]) for y in range(3)]
     assert tails[0][0] < 0.5 < tails[1][0] and tails[1][1] < 0.5 < tails[2][1]
     assert all((np.diff(t) <= 0).all() for t in tails)
+
+
+def test_what_a_task_remembers_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "_REMEMBERED", 50)
+    tokens, whole = packing.WordIds(tokenizer(WORD_FILE)), packing.WordIds(tokenizer(WORD_FILE))
+    texts = [story(f"w{i % 7}", 30) for i in range(20)] + [story(f"x{i}", 30) for i in range(20)]
+    for text in texts:
+        assert tokens.of([text]) == [whole._encode(text)]
+        assert len(tokens._known) <= 50 + 31 and len(tokens._older) <= 50 + 31
+    # words of the half before are taken from it
+    monkeypatch.setattr(packing.WordIds, "_merged", None)
+    assert tokens.of([texts[-1]]) == [whole._encode(texts[-1])]

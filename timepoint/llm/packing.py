@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from timepoint.llm.common import arrow_map
 
 SEQUENCE, OPEN, END = 2048, 1024, 0
-_REMEMBERED = 250_000
+#: Parts in each of the two halves of a task's memory, and texts encoded together.
+_REMEMBERED, _TOGETHER = 60_000, 100
 
 
 class BestFit:
@@ -96,6 +97,7 @@ class WordIds:
             )
         )
         self._known: dict[str, bytes] = {"": b""}
+        self._older: dict[str, bytes] = {}
 
     def _merged(self, letters: str) -> bytes:
         units = letters.encode().decode("latin-1").translate(_BYTE_UNITS)
@@ -109,11 +111,14 @@ class WordIds:
         """Ids of each text; parts not met before are encoded together."""
         if not self._cut:
             return list(map(self._encode, texts))
-        if len(self._known) >= _REMEMBERED:
-            self._known = {"": b""}
-        known = self._known
+        if len(self._known) >= _REMEMBERED:  # parts that go on being met move to the next half
+            self._older, self._known = self._known, {"": b""}
+        known, older = self._known, self._older
         parts = [_lowered(text).replace("\n", " ").split(" ") for text in texts]
         new = set().union(*parts).difference(known)
+        again = new.intersection(older)
+        known.update((part, older[part]) for part in again)
+        new -= again
         tails = {part: m.groups() for part in new if (m := _TAIL.fullmatch(part)) and m[1].lower().isalpha()}
         plain = list(
             new.difference(tails).union(x for pair in tails.values() for x in pair).difference(known)
@@ -174,7 +179,11 @@ def pack(
         for batch in batches:
             rows: list[tuple] = []
             texts = [text or "" for text in batch["text"]]
-            ids_of = (x for at in range(0, len(texts), 500) for x in tokens.of(texts[at : at + 500]))
+            ids_of = (
+                x
+                for at in range(0, len(texts), _TOGETHER)
+                for x in tokens.of(texts[at : at + _TOGETHER])
+            )
             for doc, ids in zip(batch["doc_id"], ids_of, strict=True):
                 ids += last
                 for piece, at in enumerate(range(0, len(ids), 4 * size)):
