@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from timepoint.plans import landing
 from timepoint.settings import Settings
 from timepoint.sources.parts import Parts, bucket_of, folders_of, upsert_batch
-from timepoint.sources.positions import dedup_pings, parse_quality_by_day
+from timepoint.sources.positions import decode_position_snapshots, dedup_pings, parse_quality_by_day
 from timepoint.streaming import positions, situations
 
 PINGS = (
@@ -120,6 +120,38 @@ def test_snapshots_as_they_land(spark, tmp_path):
     assert [(os.path.basename(r.source), r.status) for r in bad] == [("broken.pb", "corrupt")]
 
 
+def test_many_small_snapshots_cost_few_tasks_and_no_frames(spark, tmp_path):
+    rows = some_pings(5, 200)
+    pings = spark.createDataFrame(rows, PINGS).withColumn("source", F.expr("'poll/' || (ts div 60)"))
+    whole = landing.encode_snapshots(pings)
+    folder, table = new(tmp_path, "landed"), new(tmp_path, "pings")
+    n = landing.land_files(whole, folder, ".pb")
+    cores = spark.sparkContext.defaultParallelism
+    assert n > 4 * cores  # a lookup task per file was more than this
+    with open(f"{folder}/poll/broken.pb", "wb") as out:
+        out.write(whole.first().content[:-2])
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, during = spark.conf.get(setting), []
+    decoded = positions.stream_snapshots(spark, folder)
+    started = positions._started
+
+    def noted(writer, checkpoint):
+        during.append(int(spark.conf.get(setting)))
+        return started(writer, checkpoint)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(positions, "_started", noted)
+        positions.ingest_snapshots(decoded, table, new(tmp_path, "progress"))
+    assert during == [min(int(before), 4 * cores)] and spark.conf.get(setting) == before
+    assert plain(positions.ingested_pings(spark, table).select("vehicle_id", "ts")) == plain(pings.select("vehicle_id", "ts"))
+    bad = positions.ingested_quarantine(spark, table)
+    assert [(os.path.basename(r.source), r.status, r.batch) for r in bad.collect()] == [("broken.pb", "corrupt", 0)]
+    assert "Join" not in bad._jdf.queryExecution().executedPlan().toString()
+    files = spark.createDataFrame([("s", bytearray(whole.first().content))], "source string, content binary")
+    for df in (whole, decode_position_snapshots(files)):
+        assert "MapInPandas" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 # ---------------------------------------------------------------- quality
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,35 +23,43 @@ def encode_snapshots(pings: DataFrame) -> DataFrame:
         feed = feed_message_class()()
         feed.header.gtfs_realtime_version = "2.0"
         feed.header.timestamp = int(max(row[7] for row in rows))
+        add = feed.entity.add
         for _, vehicle_id, trip_id, route_id, lat, lon, bearing, ts in rows:
-            vehicle = feed.entity.add(id=vehicle_id).vehicle
+            vehicle = add(id=vehicle_id).vehicle  # each step into a message costs an object
             vehicle.vehicle.id = vehicle_id
             vehicle.timestamp = int(ts)
-            vehicle.position.latitude, vehicle.position.longitude = lat, lon
-            if bearing is not None:
-                vehicle.position.bearing = bearing
-            if trip_id is not None:
-                vehicle.trip.trip_id = trip_id
-            if route_id is not None:
-                vehicle.trip.route_id = route_id
+            place = vehicle.position
+            place.latitude, place.longitude = lat, lon
+            if bearing is not None and bearing == bearing:  # NaN is none either
+                place.bearing = bearing
+            if trip_id is not None or route_id is not None:
+                trip = vehicle.trip
+                if trip_id is not None:
+                    trip.trip_id = trip_id
+                if route_id is not None:
+                    trip.route_id = route_id
         return feed.SerializeToString()
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(packed: list[tuple[str, bytes]]) -> pa.RecordBatch:
+            sources, contents = zip(*packed, strict=True) if packed else ((), ())
+            columns = [pa.array(sources, pa.string()), pa.array(contents, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["source", "content"])
+
         rows: list[tuple] = []
         for batch in batches:
             packed: list[tuple[str, bytes]] = []
-            batch = batch.astype(object).where(batch.notna(), None)
-            for row in batch.itertuples(index=False, name=None):
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if rows and rows[0][0] != row[0]:
                     packed.append((rows[0][0], message_of(rows)))
                     rows = []
                 rows.append(row)
-            yield pd.DataFrame(packed, columns=["source", "content"])
+            yield batch_of(packed)
         if rows:
-            yield pd.DataFrame({"source": [rows[0][0]], "content": [message_of(rows)]})
+            yield batch_of([(rows[0][0], message_of(rows))])
 
     together = pings.select(*fields).repartition("source").sortWithinPartitions("source")
-    return together.mapInPandas(pack, "source string, content binary")
+    return together.mapInArrow(pack, "source string, content binary")
 
 
 def land_files(files: DataFrame, folder: str, suffix: str) -> int:

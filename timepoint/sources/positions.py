@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from timepoint.functions.geo import in_bbox
 from timepoint.operators.dedup import keep_first
@@ -78,42 +80,56 @@ def _decode(content: bytes) -> list[tuple]:
     feed = feed_message_class()()
     feed.ParseFromString(content)
     taken = feed.header.timestamp
-    return [
-        (
-            e.vehicle.vehicle.id or e.id,
-            e.vehicle.trip.trip_id or None,
-            e.vehicle.trip.route_id or None,
-            e.vehicle.position.latitude,
-            e.vehicle.position.longitude,
-            e.vehicle.position.bearing if e.vehicle.position.HasField("bearing") else None,
-            e.vehicle.timestamp or taken,
-        )
-        for e in feed.entity
-        if e.HasField("vehicle")
-    ]
+    rows = []
+    for e in feed.entity:
+        if e.HasField("vehicle"):
+            seen = e.vehicle  # each step into a message costs an object
+            trip, place = seen.trip, seen.position
+            rows.append(
+                (
+                    seen.vehicle.id or e.id,
+                    trip.trip_id or None,
+                    trip.route_id or None,
+                    _number(place.latitude),
+                    _number(place.longitude),
+                    _number(place.bearing) if place.HasField("bearing") else None,
+                    seen.timestamp or taken,
+                )
+            )
+    return rows
+
+
+def _number(value: float) -> float | None:
+    return value if value == value else None  # NaN is no place
+
+
+def _decode_batches(
+    batches: Iterator[pa.RecordBatch], kinds: pa.Schema
+) -> Iterator[pa.RecordBatch]:
+    from google.protobuf.message import DecodeError
 
+    nothing = (None,) * (len(kinds) - 2)
 
-def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from google.protobuf.message import DecodeError
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(zip(*rows, strict=True), kinds, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in columns], schema=kinds)
 
-    columns = ["source", "status", "vehicle_id", "trip_id", "route_id", "lat", "lon", "bearing", "ts"]
-    numbers = {"lat": "float64", "lon": "float64", "bearing": "float64", "ts": "Int64"}
-    nothing = (None,) * (len(columns) - 2)
     for batch in batches:
         pending: list[tuple] = []
-        for source, content in zip(batch["source"], batch["content"]):
+        for source, content in zip(batch.column("source"), batch.column("content"), strict=True):
             try:
-                rows, status = _decode(bytes(content)), "ok"
+                rows, status = _decode(content.as_py()), "ok"
             except (DecodeError, UnicodeDecodeError):  # quarantines its own file only
                 rows, status = [], "corrupt"
             if not rows and status == "ok":
                 status = "empty"
-            pending += [(source, status, *row) for row in rows or [nothing]]
-            if len(pending) >= 5000:  # many small snapshots share a frame, large ones have theirs
-                yield pd.DataFrame(pending, columns=columns).astype(numbers)
+            head = (source.as_py(), status)
+            pending += [(*head, *row) for row in rows or [nothing]]
+            if len(pending) >= 5000:  # many small snapshots share a batch, large ones have theirs
+                yield batch_of(pending)
                 pending = []
         if pending:
-            yield pd.DataFrame(pending, columns=columns).astype(numbers)
+            yield batch_of(pending)
 
 
 def read_snapshots(spark: SparkSession, path: str, glob: str = "*.pb") -> DataFrame:
@@ -133,7 +149,10 @@ def decode_position_snapshots(snapshots: DataFrame) -> DataFrame:
     Missing bearings, trip and route ids are NULL; the vehicle id falls back to the entity
     id and the time to the snapshot's own.
     """
-    decoded = snapshots.select("source", "content").mapInPandas(_decode_batches, DECODED)
+    kinds = to_arrow_schema(T.StructType.fromDDL(DECODED))
+    decoded = snapshots.select("source", "content").mapInArrow(
+        lambda batches: _decode_batches(batches, kinds), DECODED
+    )
     return decoded.withColumn("bearing", F.nanvl("bearing", F.lit(None).cast("double")))
 
 
