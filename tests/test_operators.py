@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from timepoint.functions.geo import haversine_m
+from timepoint.functions.geo import Grid, haversine_m
 from timepoint.operators import (
     disruptions,
     evaluation,
@@ -65,6 +65,21 @@ def test_gridded_candidates_equal_plain_join(spark):
     assert as_set(gridded.select(*sorted(gridded.columns))) == as_set(plain.select(*sorted(plain.columns)))
 
 
+def test_cells_are_listed_per_stop(spark):
+    pings, sched = skewed_pings(spark)
+    times = sched.select("trip_id", "stop_id", "stop_sequence", F.lit("08:20:00").alias("arrival_time"))
+    # stops of one name lie in one place here
+    stops = sched.filter("trip_id = 't0'").select("stop_id", "stop_lat", "stop_lon")
+    got = matching.scheduled_candidates(pings, times, stops)
+    plain = matching.ping_stop_candidates(pings, matching.sched_with_coords(times, stops), gridded=False)
+    assert plain.count() > 500 and got.columns == plain.columns
+    assert as_set(got) == as_set(plain)
+    listed = matching.sched_in_cells(times, stops, Grid(50.0))._jdf.queryExecution().optimizedPlan()
+    lines = listed.toString().splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert join < next(i for i, line in enumerate(lines) if "Generate" in line and "cell_x" in line)
+
+
 def test_nearest_ping_window_equals_aggregate(spark):
     pings, sched = skewed_pings(spark)
     candidates = matching.ping_stop_candidates(pings, sched)

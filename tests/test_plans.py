@@ -64,3 +64,9 @@ def test_notices_are_decoded_once_behind_their_exchange(spark):
 def test_reports_are_exchanged_before_they_are_counted(spark, tables):
     text = plan(QUERIES["parse_quality_by_day"](spark, SMALL))
     assert re.search(r"hashpartitioning\(service_date#\d+, vehicle_id#\d+, ts#\d+L?, \d+\), REPARTITION_BY_NUM", text)
+
+
+def test_bridge_reads_the_timetable_once(spark, tables):
+    # the join with the timetable keeps trips with a stop in the region by itself
+    optimized = QUERIES["stop_route_bridge"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("LeftSemi") == 1
