@@ -368,3 +368,18 @@ def test_what_a_task_remembers_of_words_is_bounded(monkeypatch):
     # words of the half before are taken from it
     monkeypatch.setattr(packing.WordIds, "_merged", None)
     assert tokens.of([texts[-1]]) == [whole._encode(texts[-1])]
+
+
+def test_words_that_come_back_are_merged_once(monkeypatch):
+    merged, calls = packing.WordIds._merged, Counter()
+    monkeypatch.setattr(
+        packing.WordIds, "_merged", lambda self, part: calls.update([part]) or merged(self, part)
+    )
+    tokens = packing.WordIds(tokenizer(WORD_FILE))
+    calls.clear()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    parts = ["é" + "".join(letters[i // 26**k % 26] for k in range(4)) for i in range(150_000)]
+    texts = [" ".join(parts[at : at + 1000]) for at in range(0, len(parts), 1000)]
+    first, again = ([x for text in texts for x in tokens.of([text])] for _ in range(2))
+    assert first == again and len(calls) == len(parts) and set(calls.values()) == {1}
+    assert first[0] == packing.WordIds._encode(tokens, texts[0])

@@ -24,7 +24,7 @@ from timepoint.llm.common import arrow_map
 
 SEQUENCE, OPEN, END = 2048, 1024, 0
 #: Parts in each of the two halves of a task's memory, and texts encoded together.
-_REMEMBERED, _TOGETHER = 60_000, 100
+_REMEMBERED, _TOGETHER = 250_000, 100
 
 
 class BestFit:
@@ -100,7 +100,8 @@ class WordIds:
         self._older: dict[str, bytes] = {}
 
     def _merged(self, letters: str) -> bytes:
-        units = letters.encode().decode("latin-1").translate(_BYTE_UNITS)
+        # ASCII letters stand for themselves
+        units = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_UNITS)
         return array("I", [token.id for token in self._model.tokenize(units)]).tobytes()
 
     def _encode(self, text: str) -> bytes:
@@ -116,17 +117,23 @@ class WordIds:
         known, older = self._known, self._older
         parts = [_lowered(text).replace("\n", " ").split(" ") for text in texts]
         new = set().union(*parts).difference(known)
-        again = new.intersection(older)
+        again = [part for part in new if part in older]  # not by way of all that is older
         known.update((part, older[part]) for part in again)
-        new -= again
-        tails = {part: m.groups() for part in new if (m := _TAIL.fullmatch(part)) and m[1].lower().isalpha()}
+        new.difference_update(again)
+        tails = {
+            part: m.groups()
+            for part in new
+            if not part.isalpha() and (m := _TAIL.fullmatch(part)) and m[1].lower().isalpha()
+        }
         plain = list(
             new.difference(tails).union(x for pair in tails.values() for x in pair).difference(known)
         )
         rest = []
         for part in plain:
             # lower-case letters are one pre-token, as they are: straight to the merges
-            if part.isalpha() and part == part.lower() and unicodedata.is_normalized("NFC", part):
+            if part.isalpha() and part == part.lower() and (
+                part.isascii() or unicodedata.is_normalized("NFC", part)
+            ):
                 known[part] = self._merged(part)
             else:
                 rest.append(part)
