@@ -295,3 +295,41 @@ def test_durable_rows_leave_no_shuffled_files(spark, make_docs):
     assert kept.count() == 8 and kept.groupBy("count").count().count() == 1  # read again, also in a shuffle
     assert frame.count() == 8  # the frame itself is as it was
     assert spark.conf.get(common._CLEANUP, "false") == before
+
+
+def block_of(texts, spans=None):
+    """Documents of one block, open, with these passages known from document 0."""
+    known = None if spans is None else [{"start": a, "stop": b} for a, b in spans]
+    first = None if spans is None else 0
+    return [
+        {"doc": i + 1, "own_shingles": hashed(text).tobytes(), "lo": 0, "open": True, "first_doc_id": first,
+         "passages": known, "removable": known, "own": 0, "i": 0, "j": 0}
+        for i, text in enumerate(texts)
+    ]
+
+
+def test_known_passages_are_not_aligned_again(monkeypatch):
+    calls, in_order = [], substring_dedup.in_order
+    monkeypatch.setattr(substring_dedup, "in_order", lambda *a: calls.append(a) or in_order(*a))
+    passage = story("hot", 70)
+    texts = [f"{story(f'm{i}', 60)} {passage} {story(f'n{i}', 20)}" for i in range(40)]
+    assert substring_dedup.passages_of_block(block_of(texts, [(60, 130)]), 46, 0.8) == []
+    assert not calls  # 780 pairs
+    # one that is known in part only is found again
+    assert substring_dedup.passages_of_block(block_of(texts[:2], [(60, 120)]), 46, 0.8) == [(2, 60, 130, 1, 60, 130)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_documents_aligned_at_once_equal_pairs(monkeypatch, seed):
+    rng, texts = random.Random(seed), []
+    passages = [story(f"p{k}", 70).split(" ") for k in range(3)]
+    for i in range(30):
+        parts = [edited(p, rng.sample(range(70), rng.choice((0, 1, 2, 4))), f"e{i}x") for p in passages]
+        rng.shuffle(parts) if i % 3 == 0 else None
+        parts = parts[: rng.randint(1, 3)] + parts[: i % 5 == 0]
+        gaps = [story(f"g{i}x{k}", rng.choice((0, 3, 30))).split(" ") for k in range(len(parts))]
+        texts.append(" ".join(word for pair in zip(parts, gaps, strict=True) for part in pair for word in part))
+    known = [(0, 65)] if seed % 2 else None
+    at_once = substring_dedup.passages_of_block(block_of(texts, known), 46, 0.8)
+    monkeypatch.setattr(substring_dedup, "_PAIRS", 0)
+    assert at_once == substring_dedup.passages_of_block(block_of(texts, known), 46, 0.8) and at_once
