@@ -333,3 +333,12 @@ def test_documents_aligned_at_once_equal_pairs(monkeypatch, seed):
     at_once = substring_dedup.passages_of_block(block_of(texts, known), 46, 0.8)
     monkeypatch.setattr(substring_dedup, "_PAIRS", 0)
     assert at_once == substring_dedup.passages_of_block(block_of(texts, known), 46, 0.8) and at_once
+
+
+def test_few_documents_of_a_leader_are_one_block(spark, make_docs):
+    docs = make_docs([story(f"d{i}", 10) for i in range(4)])
+    pairs = docs.selectExpr("0 AS leader", "doc_id AS doc", "0 AS lo", "60 AS hi").filter("doc > 0")
+    span = "array(named_struct('start', 0, 'stop', 70))"
+    known = docs.selectExpr("doc_id", "0 AS first_doc_id", f"{span} AS passages", f"{span} AS removable")
+    rows = substring_dedup._meetings(pairs, known.filter("doc_id > 1"), 64).collect()
+    assert sorted((r.doc, r.open, r.own, r.met) for r in rows) == [(1, True, 0, 1), (2, False, 0, 1), (3, False, 0, 1)]
