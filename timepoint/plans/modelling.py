@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,7 @@ from timepoint.operators import evaluation, features, models
 from timepoint.plans.binding import Tables
 from timepoint.plans.registry import query
 from timepoint.plans.report import feature_rows
+from timepoint.sources.storage import shared_directory
 
 _FEATURE_DOUBLES = (
     "pct_on_time mean_trip_delay sd_trip_delay precip_mm temp_c wind_kph "
@@ -241,9 +243,14 @@ def _(t: Tables) -> DataFrame:
 
 
 def _holdout(t: Tables) -> DataFrame:
+    """Saved predictions of all models on unseen days; each fitted pipeline is saved beside them."""
     _, test = _split(t)
-    scored = [models.score_holdout(m, test) for m in _models(t)]
-    return reduce(DataFrame.unionByName, scored)
+    folder = f"{shared_directory(t.spark).rstrip('/')}/holdout-{uuid.uuid4().hex}"
+    places = []
+    for m in _models(t):
+        places.append(f"{folder}/predictions/{m.name}")
+        models.score_holdout(m, test, f"{folder}/models").write.parquet(places[-1])
+    return t.spark.read.parquet(*places)
 
 
 @query("score_holdout")
