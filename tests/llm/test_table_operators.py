@@ -256,6 +256,16 @@ def test_top_k_of_few_and_uneven_rows(spark):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_blocks_of_queries_are_not_broadcast(spark):
+    """A block stands there once for every shard, which no size measured before tells."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(rng.normal(size=(600, 8)))]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), shard=50, block=5)
+    assert len(found.collect()) == 60
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 # ---------------------------------------------------------------- pipeline and checks
 
 

@@ -151,7 +151,8 @@ def _visits(shards: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
                 out["score"] += scores[query, place].tolist()
             yield out
 
-    met = shards.join(blocks, "shard").select("shard", "points", "queries")
+    # blocks are repeated for every shard after their size was last measured: never broadcast
+    met = shards.join(blocks.hint("merge"), "shard").select("shard", "points", "queries")
     return arrow_map(met, "query_id bigint, vec_id bigint, score bigint", work)
 
 
