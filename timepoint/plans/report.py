@@ -361,7 +361,7 @@ def _(t: Tables) -> DataFrame:
     "compliant_share trips_on_time_share headway_regular_share ttv_ok_share avl_floor",
 )
 def _(t: Tables) -> DataFrame:
-    t.pin("delays")
+    t.pin("delays", "trip_facts", "sched_headways")
     return reports.overview_kpis(
         t.band_days,
         t.trip_facts,
