@@ -342,3 +342,15 @@ def test_few_documents_of_a_leader_are_one_block(spark, make_docs):
     known = docs.selectExpr("doc_id", "0 AS first_doc_id", f"{span} AS passages", f"{span} AS removable")
     rows = substring_dedup._meetings(pairs, known.filter("doc_id > 1"), 64).collect()
     assert sorted((r.doc, r.open, r.own, r.met) for r in rows) == [(1, True, 0, 1), (2, False, 0, 1), (3, False, 0, 1)]
+
+
+def test_blocks_of_many_documents_are_larger(spark):
+    """A document is dealt once for every block it meets: with 1280 alike, once for 9, not for 20."""
+    pairs = spark.range(1, 1281).selectExpr("0L AS leader", "id AS doc", "0 AS lo", "99 AS hi")
+    kind = "array<struct<start:int,stop:int>>"
+    known = spark.createDataFrame([], f"doc_id bigint, first_doc_id bigint, passages {kind}, removable {kind}")
+    rows = substring_dedup._meetings(pairs, known, 64).collect()
+    assert len(rows) == 1280 and {r.met for r in rows} == {9} and {r.own for r in rows} == set(range(9))
+    # long ones stay in blocks of a bounded number of shingles
+    long = pairs.withColumn("hi", pairs.hi * 0 + 20_000)
+    assert {r.met for r in substring_dedup._meetings(long, known, 64).collect()} == {20}
